@@ -1,0 +1,84 @@
+"""Behaviour records derived from the ``events`` and ``customer`` tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clickpulse.schema import SITE_PREFIX, rate_table
+
+
+def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def records_from(events: DataFrame, customers: DataFrame) -> DataFrame:
+    """Raw records: every event as one JSON line keyed by its user, with an arrival time."""
+    kind = F.col("event_type")
+    behavior = F.when(kind == "view", "search").when(kind == "purchase", "buy").otherwise(kind)
+    k = F.get_json_object("props", "$.k").cast("int")
+    search, buy = F.col("behavior") == "search", F.col("behavior") == "buy"
+    has_item = F.col("behavior").isin("click", "buy")
+    users = customers.select(F.col("c_custkey").alias("user_id"), F.pmod("c_nationkey", F.lit(8)).alias("idx"))
+    base = (
+        events.withColumn("ms", F.unix_millis(F.col("ts").cast("timestamp")))
+        .withColumn("behavior", behavior)
+        .withColumn("k", k)
+        .join(users, "user_id")
+        .join(F.broadcast(rate_table(events.sparkSession)), "idx")
+        .withColumn("price", F.when(buy, F.col("value")).otherwise(0.0).cast("decimal(12,2)"))
+    )
+    level = F.element_at(
+        F.array(F.lit("Bronze"), F.lit("Silver"), F.lit("Gold"), F.lit("Diamond")),
+        (F.col("user_id") % 4 + 1).cast("int"),
+    )
+    body = F.struct(
+        F.concat(F.lit("U"), (F.col("user_id") + 1000).cast("string")).alias("userId"),
+        F.col("event_id").cast("string").alias("eventId"),
+        F.concat(
+            F.lit("S"), F.col("user_id").cast("string"), F.lit("-"), F.col("ts").cast("date").cast("string")
+        ).alias("sessionId"),
+        F.col("country_code").alias("countryCode"),
+        F.concat(F.lit(SITE_PREFIX), "country_code").alias("siteId"),
+        "behavior",
+        F.when(has_item, F.concat(F.lit("ITEM-"), (F.col("k") + 10000).cast("string"))).otherwise("").alias("itemId"),
+        F.when(search, F.concat(F.lit("kw_"), (F.col("k") % 20).cast("string"))).otherwise("").alias("searchTerm"),
+        F.when(F.col("event_id") % 13 != 0, F.col("user_id") % 42 + 18).alias("age"),
+        F.when(F.col("event_id") % 17 != 0, level).alias("level"),
+        "price",
+        "currency",
+        (F.col("price") * F.col("rate")).cast("decimal(18,6)").alias("priceCNY"),
+        F.col("ms").alias("ts"),
+    )
+    line = F.to_json(body)
+    delay = F.when(F.col("event_id") % 10 == 0, F.col("event_id") % 5000).otherwise(0)
+    cut = F.col("event_id") % 97 == 0
+    return base.select(
+        F.concat(F.lit("U"), (F.col("user_id") + 1000).cast("string")).alias("key"),
+        line.alias("line"),
+        cut.alias("cut"),
+        F.timestamp_millis(F.col("ms") + delay).alias("timestamp"),
+    ).select(
+        "key",
+        F.when(F.col("cut"), F.expr("left(line, length(line) - 1)")).otherwise(F.col("line")).alias("value"),
+        "timestamp",
+    )
+
+
+def behavior_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records_from(load(spark, sf_dir, "events"), load(spark, sf_dir, "customer"))
+
+
+def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User profiles from the customer table: ``user_id, age, level``."""
+    segment_level = (
+        F.when(F.col("c_acctbal") < 0, "Bronze")
+        .when(F.col("c_acctbal") < 3000, "Silver")
+        .when(F.col("c_acctbal") < 6000, "Gold")
+        .otherwise("Diamond")
+    )
+    return load(spark, sf_dir, "customer").select(
+        F.concat(F.lit("U"), (F.col("c_custkey") + 1000).cast("string")).alias("user_id"),
+        (F.col("c_custkey") % 42 + 18).cast("int").alias("age"),
+        segment_level.alias("level"),
+    )
