@@ -17,8 +17,11 @@ def may_contain(value: str, word: str) -> Column:
     return F.col(value).contains(word) | F.col(value).contains("\\u")
 
 
-def extract_object(df: DataFrame, fields: Iterable[str], keep: Iterable[str], value: str = "value") -> DataFrame:
-    """``keep`` columns, the named JSON fields as text, and ``is_object``.
+def extract_object(
+    df: DataFrame, fields: Iterable[str], keep: Iterable[str], *, drop_broken: bool = False, value: str = "value"
+) -> DataFrame:
+    """``keep`` columns, the named JSON fields as text, and ``is_object``; with ``drop_broken``
+    only the lines that are objects, without that column.
 
     The line is wrapped as the only member of an object, so trailing text, two
     glued records and roots that are not objects all fail the parse. Only the
@@ -36,6 +39,8 @@ def extract_object(df: DataFrame, fields: Iterable[str], keep: Iterable[str], va
     kept = list(dict.fromkeys(keep))
     rows = df.select(*kept, parsed.alias("_json")).select(*kept, F.inline(F.array("_json")))
     ok = F.col("bad").isNull() & F.col("r").isNotNull()
+    if drop_broken:
+        return rows.filter(ok).select(*kept, *[F.col("r").getField(n).alias(n) for n in names])
     return rows.select(
         *kept,
         *[F.when(ok, F.col("r").getField(n)).alias(n) for n in names],

@@ -37,8 +37,9 @@ def utc_day(ms: Column) -> Column:
 
 
 def bucket(ms: Column, width_ms: int) -> Column:
-    """Number of the epoch-aligned bucket that holds ``ms``."""
-    return (ms - F.pmod(ms, F.lit(width_ms).cast("bigint"))).cast("bigint")
+    """Start of the epoch-aligned bucket that holds ``ms``, 0 for a null. Never null, so a join
+    on it adds no null filter that would keep Spark from sharing the two sides' shuffle."""
+    return F.coalesce(ms - F.pmod(ms, F.lit(width_ms)), F.lit(0)).cast("bigint")
 
 
 def utf16_length(text: Column) -> Column:

@@ -136,18 +136,17 @@ def lateness_profile(
         F.unix_millis("timestamp").alias("arrival"),
         F.unix_millis("event_ts").alias("event_ms"),
     ).withColumn("chunk", bucket(F.col("arrival"), chunk_ms))
-    earlier_chunks = Window.partitionBy("userId").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        rows.groupBy("userId", "chunk")
-        .agg(F.max("event_ms").alias("newest"))
-        .select("userId", "chunk", F.max("newest").over(earlier_chunks).alias("carry"))
+    inside = Window.partitionBy("userId", "chunk").orderBy("arrival", "eventId")
+    marked = rows.select(
+        *rows.columns,
+        F.max("event_ms").over(inside.rowsBetween(Window.unboundedPreceding, -1)).alias("newest_before"),
+        F.lead("arrival").over(inside).isNull().alias("chunk_end"),
     )
-    before = (
-        Window.partitionBy("userId", "chunk")
-        .orderBy("arrival", "eventId")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    earlier_chunks = Window.partitionBy("userId").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = marked.filter("chunk_end").select(
+        "userId", "chunk", F.max(F.greatest("newest_before", "event_ms")).over(earlier_chunks).alias("carry")
     )
-    marked = rows.withColumn("newest_before", F.max("event_ms").over(before)).join(carried, ["userId", "chunk"])
+    marked = marked.join(carried, ["userId", "chunk"])
     late = F.col("event_ms") < F.greatest("newest_before", "carry")
     delay = F.col("arrival") - F.col("event_ms")
     counts = marked.groupBy(utc_day(F.col("arrival")).alias("day")).agg(

@@ -43,10 +43,9 @@ def parse_behavior(
     read = list(dict.fromkeys([*wanted, "ts", *(["behavior"] if only else [])]))
     if only and on_error == "drop":
         raw = raw.filter(may_contain("value", only))
-    rows = extract_object(raw, read, [*keep, "timestamp", *(["value"] if on_error == "fail" else [])])
-    if on_error == "drop":
-        rows = rows.filter("is_object")
-    elif on_error == "fail":
+    kept = [*keep, "timestamp", *(["value"] if on_error == "fail" else [])]
+    rows = extract_object(raw, read, kept, drop_broken=on_error == "drop")
+    if on_error == "fail":
         message = F.concat(F.lit("not a JSON object: "), F.coalesce("value", F.lit("null")))
         rows = rows.filter(F.when(F.col("is_object"), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
     if only:
@@ -74,7 +73,7 @@ def olap_rows(raw: DataFrame, *, keep: Iterable[str] = ()) -> DataFrame:
     """Seven-column OLAP row. Absent keys take defaults; a present value that cannot be
     read drops the row, and so does an explicit null age or an age outside 0 to 255."""
     names = ["userId", "behavior", "itemId", "ts", "age", "level", "sessionId"]
-    rows = extract_object(raw, names, [*keep, "value"]).filter("is_object")
+    rows = extract_object(raw, names, [*keep, "value"], drop_broken=True)
     value = F.col("value")
     ts = F.coalesce(to_long(F.col("ts")), F.when(~unreadable(F.col("ts"), "bigint"), F.lit(0).cast("bigint")))
     age = F.when(F.col("age").isNotNull(), to_int(F.col("age"))).when(~has_key(value, "age"), F.lit(DEFAULT_AGE))
@@ -99,7 +98,7 @@ def olap_rows(raw: DataFrame, *, keep: Iterable[str] = ()) -> DataFrame:
 def archive_rows(raw: DataFrame, *, keep: Iterable[str] = ()) -> DataFrame:
     """Archive row with its day. An unreadable ``ts`` is null and so is its ``dt``."""
     names = ["userId", "behavior", "itemId", "ts", "countryCode", "siteId", "price", "currency"]
-    rows = extract_object(raw, names, keep).filter("is_object")
+    rows = extract_object(raw, names, keep, drop_broken=True)
     ts = to_long(F.col("ts"))
     return rows.select(
         *keep,

@@ -62,7 +62,7 @@ def user_profile(events: DataFrame) -> DataFrame:
     )
 
 
-def item_cooccurrence(events: DataFrame, k: int = 10, *, chunk_ms: int = 3_600_000) -> DataFrame:
+def item_cooccurrence(events: DataFrame, k: int = 10, *, chunk_ms: int = 60_000) -> DataFrame:
     """For each item, the ``k`` items most often next to it in a user's clicks and purchases.
 
     A row pairs with the row before it, so the pairs grow with the rows and not with their
@@ -74,17 +74,18 @@ def item_cooccurrence(events: DataFrame, k: int = 10, *, chunk_ms: int = 3_600_0
     ).select("userId", "eventId", "itemId", F.unix_millis("event_ts").alias("ms"))
     rows = touched.withColumn("chunk", bucket(F.col("ms"), chunk_ms))
     inside = Window.partitionBy("userId", "chunk").orderBy("ms", "eventId")
-    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     marked = rows.select(
         "userId",
         "chunk",
         F.col("itemId").alias("item"),
         F.lag("itemId").over(inside).alias("previous"),
-        F.last("itemId").over(whole).alias("chunk_last"),
-        F.row_number().over(inside).alias("pos"),
+        F.first("itemId").over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias("chunk_first"),
+        F.lead("ms").over(inside).isNull().alias("chunk_end"),
     )
     by_chunk = Window.partitionBy("userId").orderBy("chunk")
-    borders = marked.filter("pos = 1").select("item", F.lag("chunk_last").over(by_chunk).alias("previous"))
+    borders = marked.filter("chunk_end").select(
+        F.col("chunk_first").alias("item"), F.lag("item").over(by_chunk).alias("previous")
+    )
     pairs = (
         marked.select("item", "previous")
         .unionByName(borders)

@@ -7,31 +7,58 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickpulse.operators.ranking import top_n
+
 # Fixed value: a token is a maximal run of letters and digits of any script, in lower case.
 TOKEN_BREAK = r"[^\p{L}\p{N}]+"
 
 
 def tokens(text: str) -> Column:
-    """All tokens of the whole text; the borders of the split may be empty strings."""
-    return F.split(F.lower(F.col(text)), TOKEN_BREAK)
+    """All tokens of the whole text."""
+    return F.filter(F.split(F.lower(text), TOKEN_BREAK), lambda w: w != "")
 
 
 def postings(documents: DataFrame, terms: Iterable[str] | None = None) -> DataFrame:
-    """One row per (language, token, document) with its term frequency. A document is one
-    row, so the counts are complete before the shuffle."""
-    words = documents.select("lang", "doc_id", F.explode(tokens("text")).alias("token"))
-    wanted = F.col("token") != "" if terms is None else F.col("token").isin(*terms)
-    return words.filter(wanted).groupBy("lang", "token", "doc_id").agg(F.count(F.lit(1)).alias("tf"))
+    """One row per (language, token, document) with its term frequency ``tf``.
+
+    A document is one row, so its tokens are counted within the row, as runs of the sorted
+    token array, and no shuffle is needed.
+    """
+    words = tokens("text")
+    if terms is not None:
+        words = F.filter(words, lambda w: w.isin(*terms))
+    counted = documents.select(
+        F.coalesce("lang", F.lit("")).alias("lang"), "doc_id", F.sort_array(words).alias("words")
+    ).withColumn(
+        "starts",
+        F.expr(
+            "filter(sequence(0, greatest(size(words) - 1, 0)),"
+            " i -> i < size(words) AND (i = 0 OR words[i] <> words[i - 1]))"
+        ),
+    )
+    runs = (
+        "inline(transform(starts, (s, j) -> named_struct("
+        "'token', words[s], 'tf', CAST(coalesce(get(starts, j + 1), size(words)) - s AS bigint))))"
+    )
+    return counted.select("lang", "doc_id", F.expr(runs))
 
 
-def inverted_index(documents: DataFrame, *, salts: int = 32) -> DataFrame:
-    """Postings with the document frequency of their token. Postings stay rows.
+def _each() -> Column:
+    """True for every posting, using all its columns: a plan that counts by it can share the
+    shuffle of a plan that needs the rows."""
+    return (F.col("tf") > 0) & F.col("doc_id").isNotNull()
 
-    A common word is in most documents. Its postings are spread over ``salts`` join keys by
-    a hash of the document; each key's count is summed over at most ``salts`` rows per token.
+
+def inverted_index(documents: DataFrame, *, salt_bits: int = 8) -> DataFrame:
+    """Postings with the document frequency ``df`` of their token. Postings stay rows.
+
+    A common word is in most documents. Its postings are spread over ``2 ** salt_bits`` keys
+    by a hash of the document, and at most that many counts per token are summed. Postings
+    are shuffled once.
     """
-    salted = postings(documents).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
-    part = salted.groupBy("lang", "token", "salt").agg(F.count_if(F.col("tf") > 0).alias("part"))
+    salt = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << salt_bits) - 1).cast("bigint"))
+    salted = postings(documents).withColumn("salt", salt).repartition("lang", "token", "salt")
+    part = salted.groupBy("lang", "token", "salt").agg(F.count_if(_each()).alias("part"))
     totals = part.select(
         "lang", "token", "salt", F.sum("part").over(Window.partitionBy("lang", "token")).alias("df")
     )
@@ -40,12 +67,16 @@ def inverted_index(documents: DataFrame, *, salts: int = 32) -> DataFrame:
 
 def search_documents(documents: DataFrame, terms: Iterable[str], k: int = 10) -> DataFrame:
     """The ``k`` best documents of each language for a few terms, by tf-idf with
-    ``idf = ln((1 + N) / (1 + df))`` in fixed point, ties by document id."""
+    ``idf = ln((1 + N) / (1 + df))`` in fixed point, ties by document id.
+
+    The texts are read once: matches are shuffled by document, which serves both the
+    document frequencies and the scores.
+    """
     wanted = sorted({t.lower() for t in terms})
-    found = postings(documents, wanted)
+    found = postings(documents, wanted).repartition("lang", "doc_id")
     # At most one row per language and term, so Spark's own size check picks the join.
-    df = found.groupBy("lang", "token").agg(F.count_if(F.col("tf") > 0).alias("df"))
-    size = documents.groupBy("lang").agg(F.count(F.lit(1)).alias("total"))
+    df = found.groupBy("lang", "token").agg(F.count_if(_each()).alias("df"))
+    size = documents.groupBy(F.coalesce("lang", F.lit("")).alias("lang")).agg(F.count(F.lit(1)).alias("total"))
     idf = F.round(F.ln((F.col("total") + 1) / (F.col("df") + 1)), 6).cast("decimal(12,6)")
     weights = df.join(size, "lang").select("lang", "token", idf.alias("idf"))
     scored = (
@@ -53,9 +84,5 @@ def search_documents(documents: DataFrame, terms: Iterable[str], k: int = 10) ->
         .groupBy("lang", "doc_id")
         .agg(F.sum(F.col("tf") * F.col("idf")).alias("score"))
     )
-    ranked = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.asc("doc_id")))
-    return (
-        scored.withColumn("rank", ranked)
-        .filter(F.col("rank") <= k)
-        .select("lang", "rank", "doc_id", F.col("score").cast("double").alias("score"))
-    )
+    best = top_n(scored, ["lang"], [F.desc("score"), F.asc("doc_id")], k)
+    return best.select("lang", "rank", "doc_id", F.col("score").cast("double").alias("score"))

@@ -1,8 +1,8 @@
 """Sessions by inactivity, and funnels over them.
 
 A user may own a large part of all rows, so no step orders all rows of a user in one task.
-Two rows less than a gap apart are always in one session; only the borders between time
-chunks matter. Each (user, chunk) is reduced to one summary row before the shuffle, and
+Rows are spread by (user, time chunk), with chunks no wider than the gap, so that a break by
+inactivity can only lie at the border of two chunks. Each chunk gives one summary row, and
 only these summaries, whose number per user is bounded by the time range, are ordered.
 """
 
@@ -22,49 +22,46 @@ def sessionize(
     user: str = "userId",
     time: str = "event_ts",
     tie: str = "eventId",
-    chunk_ms: int | None = None,
+    keep: tuple[str, ...] = (),
+    chunk_ms: int = 60_000,
 ) -> DataFrame:
-    """Adds ``session_no`` (1, 2, ... per user). A session ends after more than ``gap_ms``
-    without a row, and after a purchase. At the same millisecond a purchase comes last.
+    """``user, tie, event_ms, behavior`` and ``session_no`` (1, 2, ... per user). A session ends
+    after more than ``gap_ms`` without a row, and after a purchase. At the same millisecond a
+    purchase comes last.
 
     A row's number is one plus the purchases and the inactivity breaks before it; a break
-    right after a purchase is not counted twice.
+    right after a purchase is not counted twice. Without ``keep`` columns the rows and the
+    summaries come from one shuffle of one scan.
     """
-    width = min(gap_ms, chunk_ms or 60_000)
-    is_buy = F.coalesce(F.col("behavior") == "buy", F.lit(False)).cast("int")
-    rows = (
-        events.withColumn(user, F.coalesce(F.col(user), F.lit("")))
-        .withColumn("event_ms", F.unix_millis(time))
-        .withColumn("_buy", is_buy)
-        .withColumn("_chunk", bucket(F.col("event_ms"), width))
+    rows = events.select(
+        F.coalesce(user, F.lit("")).alias(user),
+        tie,
+        F.coalesce("behavior", F.lit("")).alias("behavior"),
+        F.unix_millis(time).alias("event_ms"),
+        *keep,
+    ).withColumn("chunk", bucket(F.col("event_ms"), min(gap_ms, chunk_ms)))
+    buy = F.col("behavior") == "buy"
+    inside = Window.partitionBy(user, "chunk").orderBy("event_ms", buy, tie)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    marked = rows.select(
+        *rows.columns,
+        F.sum(buy.cast("int")).over(so_far).alias("buys"),
+        F.first("event_ms").over(so_far).alias("first"),
+        F.lead("event_ms").over(inside).isNull().alias("chunk_end"),
     )
-    summary = rows.groupBy(user, "_chunk").agg(
-        F.min("event_ms").alias("first"),
-        F.max("event_ms").alias("last"),
-        F.max(F.when(F.col("_buy") == 1, F.col("event_ms"))).alias("last_buy"),
-        F.sum("_buy").alias("buys"),
+    summary = marked.filter("chunk_end").select(
+        user, "chunk", "first", F.col("event_ms").alias("last"), buy.alias("ends_in_buy"), "buys"
     )
-    by_chunk = Window.partitionBy(user).orderBy("_chunk")
-    ends_in_buy = F.coalesce(F.col("last_buy") == F.col("last"), F.lit(False))
-    idle = (F.col("first") - F.lag("last").over(by_chunk) > gap_ms) & ~F.lag(ends_in_buy).over(by_chunk)
+    by_chunk = Window.partitionBy(user).orderBy("chunk")
+    idle = (F.col("first") - F.lag("last").over(by_chunk) > gap_ms) & ~F.lag("ends_in_buy").over(by_chunk)
     breaks = summary.withColumn("idle", F.coalesce(idle, F.lit(False)).cast("int"))
-    earlier = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
+    through = by_chunk.rowsBetween(Window.unboundedPreceding, 0)
     base = breaks.select(
-        user,
-        "_chunk",
-        (
-            F.sum("idle").over(by_chunk.rowsBetween(Window.unboundedPreceding, 0))
-            + F.coalesce(F.sum("buys").over(earlier), F.lit(0))
-        ).alias("_base"),
-    )
-    before = Window.partitionBy(user, "_chunk").orderBy("event_ms", "_buy", tie).rowsBetween(
-        Window.unboundedPreceding, -1
+        user, "chunk", (F.sum(F.col("idle") + F.col("buys")).over(through) - F.col("buys")).alias("base")
     )
-    numbered = rows.withColumn("_buys_before", F.coalesce(F.sum("_buy").over(before), F.lit(0)))
-    return (
-        numbered.join(base, [user, "_chunk"])
-        .withColumn("session_no", (F.col("_base") + F.col("_buys_before") + 1).cast("bigint"))
-        .drop("_buy", "_chunk", "_base", "_buys_before")
+    number = F.col("base") + F.col("buys") - buy.cast("int") + 1
+    return marked.join(base, [user, "chunk"]).select(
+        user, tie, "event_ms", "behavior", *keep, number.cast("bigint").alias("session_no")
     )
 
 

@@ -9,11 +9,13 @@ from clickpulse.schema import GMV_WINDOW, HOT_SLIDE, HOT_WINDOW
 
 
 def gmv_tumbling(events: DataFrame, size: str = GMV_WINDOW) -> DataFrame:
-    """Sum of ``priceCNY`` over purchases per tumbling window."""
+    """Sum of ``priceCNY`` over purchases per tumbling window. A purchase without an amount
+    adds nothing, and a window with no other has no row."""
     return (
-        events.filter((F.col("behavior") == "buy") & F.col("priceCNY").isNotNull())
+        events.filter(F.col("behavior") == "buy")
         .groupBy(F.window("event_ts", size).alias("w"))
         .agg(F.sum("priceCNY").alias("total"))
+        .filter(F.col("total").isNotNull())
         .select(
             F.unix_millis("w.start").alias("window_start"),
             F.unix_millis("w.end").alias("window_end"),

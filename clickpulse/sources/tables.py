@@ -53,16 +53,15 @@ def records_from(events: DataFrame, customers: DataFrame) -> DataFrame:
     line = F.to_json(body)
     delay = F.when(F.col("event_id") % 10 == 0, F.col("event_id") % 5000).otherwise(0)
     cut = F.col("event_id") % 97 == 0
-    return base.select(
+    lines = base.select(
         F.concat(F.lit("U"), (F.col("user_id") + 1000).cast("string")).alias("key"),
         line.alias("line"),
         cut.alias("cut"),
         F.timestamp_millis(F.col("ms") + delay).alias("timestamp"),
-    ).select(
-        "key",
-        F.when(F.col("cut"), F.expr("left(line, length(line) - 1)")).otherwise(F.col("line")).alias("value"),
-        "timestamp",
     )
+    value = F.when(F.col("cut"), F.expr("left(line, length(line) - 1)")).otherwise(F.col("line"))
+    # One-element inline: filters on the value stay above it and do not build the line again.
+    return lines.select("key", F.inline(F.array(F.struct(value.alias("value")))), "timestamp")
 
 
 def behavior_records(spark: SparkSession, sf_dir: str) -> DataFrame:
