@@ -29,23 +29,17 @@ def extract_object(
     filters above the parse: pushed below it, they would parse each line again.
     """
     names = list(fields)
+    kept = list(dict.fromkeys(keep))
     members = ", ".join(f"`{n}` string" for n in names)
-    body = f"r struct<{members}>" if names else "r struct<`_`: string>"
+    schema = f"r struct<{members}>, bad string"
     parsed = F.from_json(
-        F.concat(F.lit('{"r":'), F.col(value), F.lit("}")),
-        f"{body}, bad string",
-        {"columnNameOfCorruptRecord": "bad"},
+        F.concat(F.lit('{"r":'), F.col(value), F.lit("}")), schema, {"columnNameOfCorruptRecord": "bad"}
     )
-    kept = list(dict.fromkeys(keep))
-    rows = df.select(*kept, parsed.alias("_json")).select(*kept, F.inline(F.array("_json")))
-    ok = F.col("bad").isNull() & F.col("r").isNotNull()
+    rows = df.select(*kept, parsed.alias("_json")).selectExpr(*kept, "inline(array(_json))")
+    ok = "bad IS NULL AND r IS NOT NULL"
     if drop_broken:
-        return rows.filter(ok).select(*kept, *[F.col("r").getField(n).alias(n) for n in names])
-    return rows.select(
-        *kept,
-        *[F.when(ok, F.col("r").getField(n)).alias(n) for n in names],
-        ok.alias("is_object"),
-    )
+        return rows.filter(ok).selectExpr(*kept, *[f"r.`{n}` AS `{n}`" for n in names])
+    return rows.selectExpr(*kept, *[f"if({ok}, r.`{n}`, NULL) AS `{n}`" for n in names], f"({ok}) AS is_object")
 
 
 def to_long(text: Column) -> Column:

@@ -50,6 +50,12 @@ def hot_word_counter(counts: DataFrame) -> DataFrame:
     return counts.agg(F.count(F.lit(1)).alias("total_search_count"))
 
 
+def with_search_metric(counts: DataFrame, name: str = "hot_search") -> DataFrame:
+    """The same rows, with ``total_search_count`` reported as an observed metric of each run or
+    micro-batch."""
+    return counts.observe(name, F.count(F.lit(1)).alias("total_search_count"))
+
+
 def online_users(
     events: DataFrame, size: str = "5 minutes", slide: str = "1 minute", *, approximate: bool = False
 ) -> DataFrame:

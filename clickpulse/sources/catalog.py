@@ -16,16 +16,19 @@ def create_database(spark: SparkSession, name: str) -> None:
 
 
 def create_archive_table(spark: SparkSession, table: str, path: str) -> None:
-    """Day-partitioned Parquet table over ``path``."""
-    columns, _, dt = ARCHIVE_SCHEMA.rpartition(", ")
+    """Day-partitioned Parquet table over what the archive writer puts under ``path``."""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {dt}) USING parquet PARTITIONED BY (dt) LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {table} ({ARCHIVE_SCHEMA}, batch_id bigint) "
+        f"USING parquet PARTITIONED BY (dt, batch_id) LOCATION '{path}'"
     )
 
 
 def create_olap_table(spark: SparkSession, table: str, path: str) -> None:
-    """Parquet table of OLAP rows; the writer sorts by ``ts`` inside each file."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({OLAP_SCHEMA}) USING parquet LOCATION '{path}'")
+    """Parquet table over what the OLAP writer puts under ``path``, sorted by ``ts`` in each file."""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({OLAP_SCHEMA}, batch_id bigint) "
+        f"USING parquet PARTITIONED BY (batch_id) LOCATION '{path}'"
+    )
 
 
 def register_source_view(raw: DataFrame, name: str) -> None:

@@ -13,55 +13,45 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def records_from(events: DataFrame, customers: DataFrame) -> DataFrame:
-    """Raw records: every event as one JSON line keyed by its user, with an arrival time."""
-    kind = F.col("event_type")
-    behavior = F.when(kind == "view", "search").when(kind == "purchase", "buy").otherwise(kind)
-    k = F.get_json_object("props", "$.k").cast("int")
-    search, buy = F.col("behavior") == "search", F.col("behavior") == "buy"
-    has_item = F.col("behavior").isin("click", "buy")
-    users = customers.select(F.col("c_custkey").alias("user_id"), F.pmod("c_nationkey", F.lit(8)).alias("idx"))
-    base = (
-        events.withColumn("ms", F.unix_millis(F.col("ts").cast("timestamp")))
-        .withColumn("behavior", behavior)
-        .withColumn("k", k)
-        .join(users, "user_id")
-        .join(F.broadcast(rate_table(events.sparkSession)), "idx")
-        .withColumn("price", F.when(buy, F.col("value")).otherwise(0.0).cast("decimal(12,2)"))
-    )
-    level = F.element_at(
-        F.array(F.lit("Bronze"), F.lit("Silver"), F.lit("Gold"), F.lit("Diamond")),
-        (F.col("user_id") % 4 + 1).cast("int"),
-    )
-    body = F.struct(
-        F.concat(F.lit("U"), (F.col("user_id") + 1000).cast("string")).alias("userId"),
-        F.col("event_id").cast("string").alias("eventId"),
-        F.concat(
-            F.lit("S"), F.col("user_id").cast("string"), F.lit("-"), F.col("ts").cast("date").cast("string")
-        ).alias("sessionId"),
-        F.col("country_code").alias("countryCode"),
-        F.concat(F.lit(SITE_PREFIX), "country_code").alias("siteId"),
-        "behavior",
-        F.when(has_item, F.concat(F.lit("ITEM-"), (F.col("k") + 10000).cast("string"))).otherwise("").alias("itemId"),
-        F.when(search, F.concat(F.lit("kw_"), (F.col("k") % 20).cast("string"))).otherwise("").alias("searchTerm"),
-        F.when(F.col("event_id") % 13 != 0, F.col("user_id") % 42 + 18).alias("age"),
-        F.when(F.col("event_id") % 17 != 0, level).alias("level"),
-        "price",
-        "currency",
-        (F.col("price") * F.col("rate")).cast("decimal(18,6)").alias("priceCNY"),
-        F.col("ms").alias("ts"),
+    """Raw records: every event as one JSON line keyed by its user, with an arrival time.
+
+    The customer join carries no hint. The line comes out of a one-element ``inline``, so
+    that filters on it stay above and do not build the line again.
+    """
+    users = customers.selectExpr("c_custkey AS user_id", "pmod(c_nationkey, 8) AS idx")
+    named = events.selectExpr(
+        "event_id",
+        "user_id",
+        "CAST(ts AS date) AS day",
+        "unix_millis(CAST(ts AS timestamp)) AS ms",
+        "CASE event_type WHEN 'view' THEN 'search' WHEN 'purchase' THEN 'buy' ELSE event_type END AS behavior",
+        "CAST(get_json_object(props, '$.k') AS int) AS k",
+        "CAST(CASE WHEN event_type = 'purchase' THEN value ELSE 0 END AS decimal(12,2)) AS price",
+        "concat('U', user_id + 1000) AS key",
     )
-    line = F.to_json(body)
-    delay = F.when(F.col("event_id") % 10 == 0, F.col("event_id") % 5000).otherwise(0)
-    cut = F.col("event_id") % 97 == 0
-    lines = base.select(
-        F.concat(F.lit("U"), (F.col("user_id") + 1000).cast("string")).alias("key"),
-        line.alias("line"),
-        cut.alias("cut"),
-        F.timestamp_millis(F.col("ms") + delay).alias("timestamp"),
+    joined = named.join(users, "user_id").join(F.broadcast(rate_table(events.sparkSession)), "idx")
+    lines = joined.selectExpr(
+        "key",
+        f"""to_json(named_struct(
+            'userId', key,
+            'eventId', CAST(event_id AS string),
+            'sessionId', concat('S', user_id, '-', day),
+            'countryCode', country_code,
+            'siteId', concat('{SITE_PREFIX}', country_code),
+            'behavior', behavior,
+            'itemId', if(behavior IN ('click', 'buy'), concat('ITEM-', k + 10000), ''),
+            'searchTerm', if(behavior = 'search', concat('kw_', k % 20), ''),
+            'age', if(event_id % 13 <> 0, user_id % 42 + 18, NULL),
+            'level', if(event_id % 17 <> 0, elt(CAST(user_id % 4 + 1 AS int), 'Bronze', 'Silver', 'Gold', 'Diamond'), NULL),
+            'price', price,
+            'currency', currency,
+            'priceCNY', CAST(price * rate AS decimal(18,6)),
+            'ts', ms)) AS line""",
+        "event_id % 97 = 0 AS cut",
+        "timestamp_millis(ms + if(event_id % 10 = 0, event_id % 5000, 0)) AS timestamp",
     )
-    value = F.when(F.col("cut"), F.expr("left(line, length(line) - 1)")).otherwise(F.col("line"))
-    # One-element inline: filters on the value stay above it and do not build the line again.
-    return lines.select("key", F.inline(F.array(F.struct(value.alias("value")))), "timestamp")
+    value = "if(cut, left(line, length(line) - 1), line)"
+    return lines.selectExpr("key", f"inline(array(named_struct('value', {value})))", "timestamp")
 
 
 def behavior_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,14 +60,9 @@ def behavior_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User profiles from the customer table: ``user_id, age, level``."""
-    segment_level = (
-        F.when(F.col("c_acctbal") < 0, "Bronze")
-        .when(F.col("c_acctbal") < 3000, "Silver")
-        .when(F.col("c_acctbal") < 6000, "Gold")
-        .otherwise("Diamond")
-    )
-    return load(spark, sf_dir, "customer").select(
-        F.concat(F.lit("U"), (F.col("c_custkey") + 1000).cast("string")).alias("user_id"),
-        (F.col("c_custkey") % 42 + 18).cast("int").alias("age"),
-        segment_level.alias("level"),
+    return load(spark, sf_dir, "customer").selectExpr(
+        "concat('U', c_custkey + 1000) AS user_id",
+        "CAST(c_custkey % 42 + 18 AS int) AS age",
+        "CASE WHEN c_acctbal < 0 THEN 'Bronze' WHEN c_acctbal < 3000 THEN 'Silver' "
+        "WHEN c_acctbal < 6000 THEN 'Gold' ELSE 'Diamond' END AS level",
     )

@@ -68,12 +68,14 @@ def user_sessions(raw: DataFrame, gap: str = "5 minutes") -> DataFrame:
     return sessions.session_windows(events.withWatermark("event_ts", LATENESS), gap)
 
 
-def ranked(write: sinks.BatchWriter, n: int = HOT_TOP_N) -> sinks.BatchWriter:
-    """Ranks a batch of term counts before writing. All counts of a window come in one
+def ranked(
+    write: sinks.BatchWriter, n: int = HOT_TOP_N, rank: Callable[[DataFrame, int], DataFrame] = ranking.hot_search_topn
+) -> sinks.BatchWriter:
+    """Ranks a batch of window counts before writing. All counts of a window come in one
     micro-batch, so the ranks are complete."""
 
     def rank_and_write(batch: DataFrame, batch_id: int) -> None:
-        write(ranking.hot_search_topn(batch, n), batch_id)
+        write(rank(batch, n), batch_id)
 
     return rank_and_write
 
