@@ -1,0 +1,90 @@
+"""Properties of the physical plans that matter at scale."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+from clickpulse.operators import enrich, parse, windows
+from clickpulse.plans.queries import BATCH
+
+
+def plan(df, final=False) -> str:
+    if final:
+        df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0] if final else text
+
+
+def raw_rows(spark, n=1000):
+    return spark.range(n).select(
+        F.lit("U").alias("key"),
+        F.concat(F.lit('{"behavior":"buy","priceCNY":1.5,"currency":"EUR","price":2,"ts":'), "id", F.lit("}")).alias("value"),
+        F.timestamp_millis("id").alias("timestamp"),
+    )
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    raw_rows(spark).write.parquet(str(tmp_path / "raw"))
+    return spark.read.parquet(str(tmp_path / "raw"))
+
+
+@pytest.mark.parametrize("name", ["hot_search_topn", "hot_products_topn", "sales_ranking", "item_cooccurrence", "search_documents"])
+def test_top_n_is_cut_before_the_shuffle(spark, name):
+    text = plan(BATCH[name](spark, SMALL))
+    assert re.search(r"WindowGroupLimit .*Partial", text) and re.search(r"WindowGroupLimit .*Final", text)
+
+
+def test_rates_are_broadcast(stored):
+    assert "BroadcastHashJoin" in plan(enrich.with_cny(parse.parse_behavior(stored)))
+
+
+def test_lines_are_parsed_once(stored):
+    events = parse.parse_behavior(stored, ["behavior", "priceCNY"], only="buy")
+    text = plan(windows.gmv_tumbling(events))
+    assert text.count("from_json(") == 1
+
+
+def test_only_needed_members_are_read(stored):
+    text = plan(windows.gmv_tumbling(parse.parse_behavior(stored, ["behavior", "priceCNY"], only="buy")))
+    read = re.search(r"from_json\((.*?)concat\(", text).group(1)
+    assert "searchTerm" not in read and "priceCNY" in read
+
+
+def test_text_filter_and_columns_reach_the_scan(stored):
+    text = plan(windows.gmv_tumbling(parse.parse_behavior(stored, ["behavior", "priceCNY"], only="buy")))
+    assert "ReadSchema: struct<value:string,timestamp:timestamp>" in text
+    assert re.search(r"DataFilters: \[.*Contains\(value", text)
+
+
+@pytest.mark.parametrize("name", ["sessionize", "lateness_profile", "item_cooccurrence"])
+def test_rows_and_summaries_share_one_scan(spark, name):
+    text = plan(BATCH[name](spark, SMALL), final=True)
+    assert text.count("FileScan parquet [event_id") == 1 and "ReusedExchange" in text
+
+
+@pytest.mark.parametrize("name", ["inverted_index", "search_documents"])
+def test_texts_are_read_once(spark, name):
+    text = plan(BATCH[name](spark, SMALL), final=True)
+    assert len(re.findall(r"FileScan parquet \[.*text#", text)) == 1
+
+
+@pytest.mark.parametrize("name", [n for n in BATCH])
+def test_no_raw_rows_in_one_task(spark, name):
+    """A single partition takes only partial aggregates."""
+    lines = plan(BATCH[name](spark, SMALL)).splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            child = lines[i + 1]
+            assert "partial_" in child, child
+
+
+@pytest.mark.parametrize("name", [n for n in BATCH])
+def test_no_python_and_no_cross_join(spark, name):
+    text = plan(BATCH[name](spark, SMALL))
+    for word in ("PythonUDF", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert word not in text
