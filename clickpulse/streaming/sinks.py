@@ -125,19 +125,20 @@ def commit_days(
     delay_ms: int = COMMIT_DELAY_MS,
 ) -> list[str]:
     """Publishes the days that are due: a ``_SUCCESS`` file in the day's folder and, where a
-    table is named, its partitions in the catalog. Safe to run again. Only day names come
-    to the driver."""
+    table is named, the partitions of theirs that the catalog lacks, one statement per day.
+    Safe to run again. Only day names and batch numbers come to the driver."""
     seen = spark.read.schema("dt string, timestamp timestamp, batch_id bigint").parquet(arrivals)
     due = partition_commits(seen, as_of_ms, delay_ms).filter("committed AND dt IS NOT NULL").select("dt")
     days = sorted(row["dt"] for row in due.toLocalIterator())
     for day in days:
         _touch(spark, f"{path}/dt={day}/_SUCCESS")
-    if table and days:
-        for row in seen.select("dt", "batch_id").filter(F.col("dt").isin(days)).distinct().toLocalIterator():
-            spark.sql(
-                f"ALTER TABLE {table} ADD IF NOT EXISTS "
-                f"PARTITION (dt = '{row['dt']}', batch_id = {row['batch_id']})"
-            )
+    if table:
+        known = spark.sql(f"SHOW PARTITIONS {table}")
+        written = seen.join(due, "dt").selectExpr("dt", "batch_id", "concat('dt=', dt, '/batch_id=', batch_id) AS partition")
+        missing = written.distinct().join(known, "partition", "left_anti")
+        for row in missing.groupBy("dt").agg(F.collect_list("batch_id").alias("ids")).toLocalIterator():
+            parts = " ".join(f"PARTITION (dt = '{row['dt']}', batch_id = {i})" for i in row["ids"])
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
     return days
 
 
