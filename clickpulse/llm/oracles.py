@@ -25,7 +25,7 @@ def _quality_rules() -> str:
     WITH split AS (
       SELECT doc_id, coalesce(text, '') AS body,
              regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
-             list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+             list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
       FROM documents),
     windows AS (
       SELECT doc_id, i, list_slice(words, i, i + 4) AS w
@@ -42,7 +42,7 @@ def _quality_rules() -> str:
              (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
              coalesce(c.n, 0)::BIGINT AS n_repeat_words,
              len(lines) AS n_lines,
-             len(list_filter(words, w -> lower(w) IN ({stops}))) AS n_stop_words,
+             len(list_filter(words, lambda w: lower(w) IN ({stops}))) AS n_stop_words,
              len(regexp_replace(body, '[^\p{{L}}]', '', 'g')) AS n_letters,
              len(regexp_replace(body, '[^\p{{Lu}}]', '', 'g')) AS n_capitals
       FROM split s LEFT JOIN covered c USING (doc_id)),

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import quality_rules
+from clickpulse.llm import quality_rules, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,7 +22,20 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *(f"measures.{c}" for c in base), "base_failed", "kept")
 
 
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secret_scan.scan(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    spans, base = F.col("secret_spans"), secret_scan.KINDS[:3]
+
+    def count(kind: str) -> Column:
+        number = secret_scan.KINDS.index(kind)
+        return F.size(F.filter(spans, lambda s: s["kind_no"] == number)).cast("bigint").alias(f"n_{kind}")
+
+    digest = F.sha2(secret_scan.rendered(spans, base), 256).alias("base_sha256")
+    return rows.select("doc_id", *(count(k) for k in base), digest, secret_scan.rendered(spans).alias("spans"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op5_quality_rules": op5_quality_rules,
+        "op9_secret_scans": op9_secret_scans,
     }
