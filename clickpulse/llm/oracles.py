@@ -54,5 +54,56 @@ def _quality_rules() -> str:
     """
 
 
+def _url_filters() -> str:
+    """Rules by CASE; aliases by absolute canonical links, followed both ways by a recursive query."""
+
+    def host(url: str) -> str:
+        return f"lower(regexp_extract(coalesce({url}, ''), '^(?s:.*?)://([^/?#]*)', 1))"
+
+    def path(url: str) -> str:
+        return f"regexp_extract(coalesce({url}, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1)"
+
+    # The rules of the contract, longest first.
+    rules = (
+        ("allow", "www.example.com", "/en/"),
+        ("block", "example.com", "/en/"),
+        ("block", "net", "/es/"),
+        ("block", "net", "/fr/"),
+        ("allow", "com", "/"),
+    )
+
+    def case(value: int) -> str:
+        tests = "".join(
+            f" WHEN ('.' || host) LIKE '%.{h}' AND starts_with(path, '{p}') THEN '{(v, h + p)[value]}'"
+            for v, h, p in rules
+        )
+        return f"CASE{tests} END"
+
+    address = f"""lower(regexp_extract(url, '^(.*?)://', 1)) || '://' || {host("url")} ||
+        coalesce(nullif(regexp_extract(url, '^.*?://[^/?#]*([^#]*)', 1), ''), '/')"""
+    return f"""
+    WITH RECURSIVE judged AS (
+      SELECT page_id, url, host, path, {case(1)} AS rule, {case(0)} AS own
+      FROM (SELECT page_id, url, {host("url")} AS host, {path("url")} AS path FROM pages)),
+    pairs AS (
+      SELECT source, target FROM (
+        SELECT {address} AS source, {address.replace("url", "link")} AS target
+        FROM (SELECT url, regexp_extract(html, '<link rel="canonical" href="([^"]*)"', 1) AS link FROM pages)
+        WHERE link LIKE '%://%' AND url LIKE '%://%')
+      WHERE source <> target),
+    links AS (SELECT source AS a, target AS b FROM pairs UNION SELECT target, source FROM pairs),
+    reach AS (
+      SELECT a, a AS b FROM links
+      UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+    shared AS (
+      SELECT a, min(own) AS verdict
+      FROM (SELECT a, {case(0)} AS own FROM (SELECT a, {host("b")} AS host, {path("b")} AS path FROM reach))
+      GROUP BY a)
+    SELECT page_id, host, path, rule, coalesce(own, s.verdict, 'allow') AS verdict
+    FROM (SELECT *, CASE WHEN url LIKE '%://%' THEN {address} END AS address FROM judged) j
+    LEFT JOIN shared s ON s.a = j.address
+    """
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op5_quality_rules": _quality_rules()}
+    return {"op3_url_filters": _url_filters(), "op5_quality_rules": _quality_rules()}

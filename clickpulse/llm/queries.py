@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import quality_rules, secret_scan
+from clickpulse.llm import quality_rules, secret_scan, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+# The rules of the contract.
+URL_RULES = (
+    url_filters.UrlRule("allow", "com", "/"),
+    url_filters.UrlRule("block", "example.com", "/en/"),
+    url_filters.UrlRule("allow", "www.example.com", "/en/"),
+    url_filters.UrlRule("block", "net", "/es/"),
+    url_filters.UrlRule("block", "net", "/fr/"),
+)
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = url_filters.judge(_table(spark, sf_dir, "pages", "page_id", "url", "html"), URL_RULES)
+    return rows.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.judge(_table(spark, sf_dir, "documents", "doc_id", "text"))
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -36,6 +51,7 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op3_url_filters": op3_url_filters,
         "op5_quality_rules": op5_quality_rules,
         "op9_secret_scans": op9_secret_scans,
     }

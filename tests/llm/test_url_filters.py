@@ -1,0 +1,87 @@
+"""URL filters against a plain version with union-find."""
+
+from __future__ import annotations
+
+from clickpulse.llm import url_filters as uf
+from clickpulse.llm.queries import URL_RULES, op3_url_filters
+from clickpulse.llm.shared import connected_components
+
+
+def link(href):
+    return f'<html><head><LINK href="{href}" rel="canonical"></head></html>'
+
+
+def refresh(href):
+    return f"<meta http-equiv='Refresh' content='0; URL={href}'>"
+
+
+PAGES = [
+    (1, "http://a.example.org/x", link("https://www.example.com/en/1")),  # allowed alias
+    (2, "http://b.example.org/x", link("http://shop.example.com/en/2")),  # blocked alias
+    (3, "http://c.example.org/x", refresh("http://a.example.org/x")),  # two steps to an allowed one
+    (4, "http://d.example.org/x#f", link("http://b.example.org/x#g")),  # two steps to a blocked one
+    (5, "http://e.example.org/x", None),
+    (6, "HTTPS://WWW.Example.COM/en/9?q=1", ""),
+    (7, "http://net/es/1", link("https://www.example.com/en/1")),  # own rule before aliases
+    (8, None, link("http://shop.example.com/en/2")),
+    (9, "no address", link("/x")),
+    (10, "http://f.example.org/dir/x", link("../y")),
+    (11, "http://g.example.org", link("//shop.example.com/en/2")),
+    (12, "http://h.example.org/p", link("/q")),
+    (13, "http://h.example.org/q", link("http://b.example.org/x")),
+    (14, "http://k.example.org/", '<link rel="stylesheet" href="http://b.example.org/x">'),
+    (15, "http://xcom/", None),
+    (1, "http://a.example.org/x", link("https://www.example.com/en/1")),
+    (16, "http://mix.example.org/", link("http://shop.example.com/en/2") + refresh("https://www.example.com/en/1")),
+]
+
+
+def judged(spark, pages=PAGES, **options):
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    return [tuple(r) for r in uf.judge(df, URL_RULES, **options).select("page_id", "rule", "verdict").collect()]
+
+
+def test_rules_aliases_and_precedence(spark):
+    rows = judged(spark)
+    assert len(rows) == len(PAGES)
+    got = {r[0]: r[1:] for r in rows}
+    allow, block = (None, "allow"), (None, "block")
+    # page 16 ties the allowed and the blocked group together: allow takes precedence for all of them
+    assert got[1] == got[3] == got[2] == got[4] == got[11] == got[12] == got[13] == got[16] == allow
+    assert got[6] == ("www.example.com/en/", "allow") and got[7] == ("net/es/", "block")
+    assert got[5] == got[8] == got[9] == got[10] == got[14] == got[15] == allow
+    got = {r[0]: r[1:] for r in judged(spark, PAGES[:-1])}
+    assert got[1] == got[3] == allow
+    assert got[2] == got[4] == got[11] == got[12] == got[13] == block
+
+
+def test_redirect_pairs_and_default(spark):
+    moves = spark.createDataFrame(
+        [("http://e.example.org/x", "http://shop.example.com/en/2"), (None, "x"), ("http://e.example.org/x", "y")],
+        "source string, target string",
+    )
+    got = {r[0]: r[2] for r in judged(spark, PAGES[:-1], redirects=moves, default="block")}
+    assert got[5] == "block" and got[14] == "block" and got[1] == "allow"
+
+
+def test_host_and_path(spark):
+    df = spark.createDataFrame([("HTTP://A.b:80?x#y",), ("x://h#/p",), ("a://b://c/d?e",), (None,), ("",)], "url string")
+    rows = df.select(uf.host_of(df.url), uf.path_of(df.url)).collect()
+    assert [tuple(r) for r in rows] == [("a.b:80", ""), ("h", ""), ("b:", "//c/d"), ("", ""), ("", "")]
+
+
+def test_long_chain_star_and_bad_links(spark):
+    chain = [(i, i + 1) for i in range(60)] + [(1000, i) for i in range(2000, 2300)] + [(5, 5), (None, 7), (8, None)]
+    rows = connected_components(spark.createDataFrame(chain, "a long, b long"), "a", "b").collect()
+    got = {r["id"]: r["component"] for r in rows}
+    assert len(rows) == len(got) == 61 + 301
+    assert all(got[i] == 0 for i in range(61)) and all(got[i] == 1000 for i in range(2000, 2300))
+    assert connected_components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_clashing_columns_and_query(spark, tmp_path):
+    df = spark.createDataFrame([(*p, "z", "z") for p in PAGES], "page_id long, url string, html string, host string, rule string")
+    df.write.parquet(str(tmp_path / "pages.parquet"))
+    assert op3_url_filters(spark, str(tmp_path)).count() == len(PAGES)
+    assert {r[0] for r in uf.judge(df, URL_RULES).select("host").collect()} != {"z"}
+    assert uf.judge(df.limit(0), URL_RULES).count() == 0
