@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import quality_rules, secret_scan, url_filters
+from clickpulse.llm import quality_rules, secret_scan, simhash, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), shingle=3, distance=3)
+    return rows.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 # The rules of the contract.
 URL_RULES = (
     url_filters.UrlRule("allow", "com", "/"),
@@ -51,6 +56,7 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op2_simhash_near_dedup": op2_simhash_near_dedup,
         "op3_url_filters": op3_url_filters,
         "op5_quality_rules": op5_quality_rules,
         "op9_secret_scans": op9_secret_scans,
