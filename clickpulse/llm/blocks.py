@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,3 +57,16 @@ def compare(
 
 def shuffle_parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each member that has links, and the smallest member that it reaches."""
+    root = np.arange(n)
+    while True:
+        before = root.copy()
+        np.minimum.at(root, a, root[b])
+        np.minimum.at(root, b, root[a])
+        root = root[root]
+        if (root == before).all():
+            child = np.flatnonzero(root != np.arange(n))
+            return child, root[child]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import quality_rules, secret_scan, simhash, url_filters
+from clickpulse.llm import embedding_dedup, quality_rules, secret_scan, simhash, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *(f"measures.{c}" for c in base), "base_failed", "kept")
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    found = embedding_dedup.near_duplicates(rows, cosine=0.98)
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = secret_scan.scan(_table(spark, sf_dir, "documents", "doc_id", "text"))
     spans, base = F.col("secret_spans"), secret_scan.KINDS[:3]
@@ -59,5 +65,6 @@ def llm_queries() -> dict[str, Query]:
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
         "op3_url_filters": op3_url_filters,
         "op5_quality_rules": op5_quality_rules,
+        "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_secret_scans": op9_secret_scans,
     }

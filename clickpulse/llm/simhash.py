@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.blocks import compare, pieces, shuffle_parts
+from clickpulse.llm.blocks import compare, forest, pieces, shuffle_parts
 from clickpulse.llm.shared import connected_components, written
 
 SHINGLE = 3
@@ -85,19 +85,6 @@ def block_keys(mark: Column, blocks: int, shared: int) -> Column:
     return F.array(*keys)
 
 
-def _forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each member that has links, and the smallest member that it reaches."""
-    root = np.arange(n)
-    while True:
-        before = root.copy()
-        np.minimum.at(root, a, root[b])
-        np.minimum.at(root, b, root[a])
-        root = root[root]
-        if (root == before).all():
-            child = np.flatnonzero(root != np.arange(n))
-            return child, root[child]
-
-
 def _close(distance: int):
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         marks, piece = frame["fingerprint"].to_numpy(), frame["piece"].to_numpy()
@@ -114,7 +101,7 @@ def _close(distance: int):
             step += 1
         a = np.concatenate(found_a) if found_a else index
         b = np.concatenate(found_b) if found_b else index
-        child, root = _forest(a, b, len(marks))
+        child, root = forest(a, b, len(marks))
         return pd.DataFrame({"a": marks[child], "b": marks[root]}).drop_duplicates()
 
     return work

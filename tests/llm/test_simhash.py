@@ -117,6 +117,6 @@ def test_keep_one_with_nulls_repeats_and_clashing_columns(spark):
 
 def test_forest_keeps_groups_together():
     a, b = np.array([4, 3, 1, 6]), np.array([3, 2, 0, 5])
-    child, root = simhash._forest(a, b, 8)
+    child, root = blocks.forest(a, b, 8)
     assert dict(zip(child.tolist(), root.tolist())) == {1: 0, 3: 2, 4: 2, 6: 5}
     assert simhash._close(3)(pd.DataFrame({"fingerprint": np.array([], np.int64), "piece": np.array([], np.int64)})).empty
