@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import embedding_dedup, quality_rules, secret_scan, simhash, url_filters
+from clickpulse.llm import embedding_dedup, quality_rules, secret_scan, simhash, token_files, url_filters
+from clickpulse.llm.shared import shared_folder
+from clickpulse.llm.tokens import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +18,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "token-files")
+    token_files.write(_table(spark, sf_dir, "documents", "doc_id", "text"), folder, vocabulary("byte_bpe_50k.json"), end_id=2)
+    n_tokens = (F.octet_length("tokens") / 4).cast("bigint").alias("n_tokens")
+    return token_files.read(spark, folder).select("doc_id", "start", n_tokens, F.crc32("tokens").alias("ids_crc32"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), shingle=3, distance=3)
     return rows.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
@@ -62,6 +71,7 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_token_files": op1_token_files,
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
         "op3_url_filters": op3_url_filters,
         "op5_quality_rules": op5_quality_rules,
