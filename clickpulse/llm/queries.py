@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import embedding_dedup, quality_rules, secret_scan, simhash, token_files, url_filters
+from clickpulse.llm import embedding_dedup, packing, quality_rules, secret_scan, simhash, token_files, url_filters
 from clickpulse.llm.shared import shared_folder
 from clickpulse.llm.tokens import vocabulary
 
@@ -51,6 +51,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *(f"measures.{c}" for c in base), "base_failed", "kept")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    rows = packing.pack(documents, vocabulary("byte_bpe_50k.json"), end_id=1)
+    crc = F.crc32("tokens").alias("ids_crc32")
+    return rows.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset", "tier", "step_id")
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
     found = embedding_dedup.near_duplicates(rows, cosine=0.98)
@@ -75,6 +82,7 @@ def llm_queries() -> dict[str, Query]:
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
         "op3_url_filters": op3_url_filters,
         "op5_quality_rules": op5_quality_rules,
+        "op7_packing": op7_packing,
         "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_secret_scans": op9_secret_scans,
     }

@@ -24,8 +24,7 @@ class PieceEncoder:
 
     Pieces start where a non-space is followed by white space. The splitting pattern of the byte-level
     vocabularies never matches across such a place and never looks behind it, so the pieces' ids
-    joined are the text's ids. Pieces over ``LONGEST``
-    characters are encoded each time.
+    joined are the text's ids. Pieces over ``LONGEST`` characters are encoded each time.
     """
 
     def __init__(self, encode: Encode) -> None:
