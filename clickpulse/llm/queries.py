@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import embedding_dedup, packing, quality_rules, secret_scan, simhash, token_files, url_filters
+from clickpulse.llm import byte_bpe, embedding_dedup, packing, quality_rules, secret_scan, simhash, token_files, url_filters
 from clickpulse.llm.shared import shared_folder
 from clickpulse.llm.tokens import vocabulary
 
@@ -51,6 +51,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *(f"measures.{c}" for c in base), "base_failed", "kept")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = vocabulary("byte_bpe_50k.tiktoken")
+    rows = byte_bpe.encode(_table(spark, sf_dir, "documents", "doc_id", "text"), path, public_tokenizers.PATTERN)
+    return byte_bpe.digests(byte_bpe.decode(rows, path))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
     rows = packing.pack(documents, vocabulary("byte_bpe_50k.json"), end_id=1)
@@ -82,6 +90,7 @@ def llm_queries() -> dict[str, Query]:
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
         "op3_url_filters": op3_url_filters,
         "op5_quality_rules": op5_quality_rules,
+        "op6_byte_bpe": op6_byte_bpe,
         "op7_packing": op7_packing,
         "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_secret_scans": op9_secret_scans,

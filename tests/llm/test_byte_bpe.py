@@ -1,0 +1,102 @@
+"""Byte-level BPE against the tiktoken library."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from clickpulse.llm import byte_bpe
+from clickpulse.llm.queries import op6_byte_bpe
+
+PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
+VOCABULARY = byte_bpe.Vocabulary.load(PATH)
+ENCODER = byte_bpe.TextEncoder(VOCABULARY, public_tokenizers.PATTERN)
+TEXTS = [None, "", " ", "Hello   world", "don't\n\n\n x", "é🔥ñ" * 50, "a" * 3000, "<|endoftext|>", "thouoning " * 100, "\x00\x1c​ x"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=VOCABULARY.ranks, special_tokens={})
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.one_of(st.text(max_size=60), st.text(alphabet="abthe ’'sn\n1-=", max_size=80)))
+def test_texts_encode_as_the_library_does(library, text):
+    assert ENCODER.encode(text) == library.encode_ordinary(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.binary(max_size=60))
+def test_bytes_encode_as_the_library_does(library, data):
+    assert byte_bpe.PrefixTable(VOCABULARY, data).tokens() == (library._encode_single_piece(data) if data else [])
+
+
+def test_second_vocabulary(library):
+    ranks = byte_bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    other = tiktoken.Encoding("multi", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks.ranks, special_tokens={})
+    encoder = byte_bpe.TextEncoder(ranks, public_tokenizers.PATTERN)
+    for text in TEXTS[1:]:
+        assert encoder.encode(text) == other.encode_ordinary(text)
+
+
+def test_every_prefix_of_a_string(library):
+    data = "internationalisation¡¡aaaabbbbaaaab----====  ".encode() * 3
+    table = byte_bpe.PrefixTable(VOCABULARY)
+    for i in range(len(data)):
+        table.append(data[i : i + 1])
+        assert table.tokens() == library._encode_single_piece(data[: i + 1])
+        table.replace(i // 2, i // 2 + 1, data[i // 2 : i // 2 + 1])
+    table.replace(3, 9, b"xyz")
+    assert table.tokens() == library._encode_single_piece(data[:3] + b"xyz" + data[9:])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="ab  \n'st1é", max_size=40), st.lists(st.tuples(st.integers(0, 60), st.integers(0, 6), st.text(alphabet="a b\n'1é", max_size=6)), max_size=8))
+def test_edits_keep_the_ids_right(library, text, edits):
+    doc = byte_bpe.EditableText(ENCODER, text)
+    for at, n, new in edits:
+        at = min(at, len(text))
+        end = min(at + n, len(text))
+        doc.replace(at, end, new)
+        text = text[:at] + new + text[end:]
+        assert doc.text == text and doc.tokens() == library.encode_ordinary(text)
+    doc.append("s 'll")
+    assert doc.tokens() == library.encode_ordinary(text + "s 'll")
+
+
+def check(rows, pairs, library):
+    assert len(rows) == len(pairs)
+    got = {r["doc_id"]: r for r in rows}
+    for doc, text in pairs:
+        ids = library.encode_ordinary(text or "")
+        want = (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest())
+        assert tuple(got[doc])[1:] == want
+
+
+def test_query_on_edge_texts_and_the_given_table(spark, tmp_path, library):
+    pairs = list(enumerate(TEXTS))
+    spark.createDataFrame(pairs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    check(op6_byte_bpe(spark, str(tmp_path)).collect(), pairs, library)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    check(op6_byte_bpe(spark, "/root/testdata/sf0.001").collect(), [(d["doc_id"], d["text"]) for d in docs], library)
+
+
+def test_nulls_repeats_clashing_columns_and_empty_tables(spark):
+    df = spark.createDataFrame([(None, "a b", "x", 1)] * 2, "doc_id long, text string, ids string, decoded int")
+    rows = byte_bpe.decode(byte_bpe.encode(df, PATH, public_tokenizers.PATTERN), PATH)
+    assert [bytes(r["decoded"]) for r in rows.collect()] == [b"a b"] * 2
+    assert byte_bpe.encode(df.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_ranks_file_is_read_whole():
+    lines = open(PATH, "rb").read().splitlines()
+    assert len(VOCABULARY.ranks) == len(lines)
+    token, rank = random.Random(0).choice(lines).split()
+    assert VOCABULARY.ranks[base64.b64decode(token)] == int(rank)
