@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import byte_bpe, embedding_dedup, packing, quality_rules, secret_scan, simhash, token_files, url_filters
+from clickpulse.llm import byte_bpe, embedding_dedup, packing, quality_rules, secret_scan, simhash, token_files, toxicity, url_filters
 from clickpulse.llm.shared import shared_folder
 from clickpulse.llm.tokens import vocabulary
 
@@ -45,6 +45,20 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "host", "path", "rule", "verdict")
 
 
+def _remainder(parts: int) -> Column:
+    """crc32 of the id as text, modulo ``parts``: what the contract holds out."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = _table(spark, sf_dir, "labels", "doc_id", "toxic")
+    model = toxicity.train_on(documents, labels, _remainder(5) != 0)
+    rows = toxicity.score(documents, model)
+    held_out, predicted = (_remainder(5) == 0).alias("held_out"), (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return rows.select("doc_id", held_out, "score", predicted)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.judge(_table(spark, sf_dir, "documents", "doc_id", "text"))
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -89,6 +103,7 @@ def llm_queries() -> dict[str, Query]:
         "op1_token_files": op1_token_files,
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
         "op3_url_filters": op3_url_filters,
+        "op4_toxicity": op4_toxicity,
         "op5_quality_rules": op5_quality_rules,
         "op6_byte_bpe": op6_byte_bpe,
         "op7_packing": op7_packing,
