@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import byte_bpe, embedding_dedup, packing, quality_rules, secret_scan, simhash, token_files, toxicity, url_filters
+from clickpulse.llm import (
+    byte_bpe,
+    embedding_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    simhash,
+    token_files,
+    toxicity,
+    url_filters,
+)
 from clickpulse.llm.shared import shared_folder
 from clickpulse.llm.tokens import vocabulary
 
@@ -98,6 +109,15 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *(count(k) for k in base), digest, secret_scan.rendered(spans).alias("spans"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = _table(spark, sf_dir, "labels", "doc_id", "quality")
+    model = quality_classifier.train_on(documents, labels, _remainder(4) != 2)
+    rows = quality_classifier.score(documents, model)
+    held_out, predicted = (_remainder(4) == 2).alias("held_out"), (F.col("score") >= 0.7).cast("int").alias("predicted")
+    return rows.select("doc_id", held_out, "score", predicted)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_token_files": op1_token_files,
@@ -109,4 +129,5 @@ def llm_queries() -> dict[str, Query]:
         "op7_packing": op7_packing,
         "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_secret_scans": op9_secret_scans,
+        "op10_quality_classifier": op10_quality_classifier,
     }
