@@ -187,23 +187,40 @@ def train_on(
     return train([r["t"] for r in rows], [r["y"] for r in rows], ones or None)
 
 
+def _raw_scores(texts: Sequence[str | None], model: Model, gains: Gains | None) -> np.ndarray:
+    raw = [model.bias + (sum(a * b for a, b in zip(model.weights, gains.features(t))) if gains else 0.0) for t in texts]
+    return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
+
+
+def _scored(batches: Iterator[pa.RecordBatch], model: Model, text: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    gains = Gains(model.ordinary, model.toxic) if model.weights else None
+    for batch in batches:
+        for first in range(0, batch.num_rows, DOCS):
+            rows = batch.slice(first, DOCS)
+            texts = rows.column(rows.schema.get_field_index(text)).to_pylist()
+            yield rows, _raw_scores(texts, model, gains)
+
+
 def score(documents: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``id_col, score`` (0 to 1) for each row, from every window of the whole text.
 
     A null text counts as empty; an empty one has no windows and gets the score of no gain. Rows
     without an id and repeated rows are scored like others. Only the two columns are read.
     """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gains = Gains(model.ordinary, model.toxic) if model.weights else None
-        for batch in batches:
-            for first in range(0, batch.num_rows, DOCS):
-                rows = batch.slice(first, DOCS)
-                raw = [
-                    model.bias + (sum(a * b for a, b in zip(model.weights, gains.features(t))) if gains else 0.0)
-                    for t in rows.column(1).to_pylist()
-                ]
-                scores = 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(scores)], names=[id_col, "score"])
+        for rows, scores in _scored(batches, model, text):
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(scores)], names=[id_col, "score"])
 
     kind = documents.schema[id_col].dataType.simpleString()
     return documents.select(id_col, text).mapInArrow(run, f"`{id_col}` {kind}, score double")
+
+
+def accept(documents: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``documents``, all columns as they are, whose score is below ``threshold``. No shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, scores in _scored(batches, model, text):
+            yield rows.filter(pa.array(scores < threshold))
+
+    return documents.mapInArrow(run, documents.schema)
