@@ -10,6 +10,7 @@ encoding from the end backwards, in time linear in the bytes; new bytes only add
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -192,7 +193,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matches = TextEncoder(Vocabulary.load(ranks_path), pattern)
-        encoder = PieceEncoder(lambda pieces: map(matches.encode, pieces))
+        encoder = PieceEncoder(lambda pieces: (array("I", matches.encode(p)).tobytes() for p in pieces))
         for batch in batches:
             for first in range(0, batch.num_rows, DOCS):
                 rows = batch.slice(first, DOCS)
