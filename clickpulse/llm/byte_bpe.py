@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,9 +31,11 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks, self.bytes = ranks, {r: t for t, r in ranks.items()}
         self.longest = max(map(len, ranks))
-        self.prefixes = {t[:n] for t in ranks for n in range(1, len(t) + 1)}
         self._parts: dict[int, tuple[int, int] | None | bool] = {}
         self._pairs: dict[tuple[int, int], bool] = {}
+        #: Every prefix of a token: the token that it is, or -1 where it is none or its bytes encode otherwise.
+        self.prefixes = {t[:n]: -1 for t in ranks for n in range(1, len(t))}
+        self.prefixes.update((t, -1 if self.parts(r) is False else r) for t, r in ranks.items())
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -93,16 +96,17 @@ class PrefixTable:
         self.data += more
         data, last = self.data, self.last
         last.extend([-1] * len(more))
+        prefixes, pairs = v.prefixes, v._pairs
         for start in range(max(0, old - v.longest + 1), len(data)):
             before = last[start]
             for end in range(start + 1, min(start + v.longest, len(data)) + 1):
-                part = data[start:end]
-                if part not in v.prefixes:
+                token = prefixes.get(data[start:end])
+                if token is None:
                     break
-                if end <= old or last[end] >= 0:
+                if token < 0 or end <= old or last[end] >= 0:
                     continue
-                token = v.ranks.get(part)
-                if token is not None and v.parts(token) is not False and (start == 0 or v.may_follow(before, token)):
+                fits = pairs.get((before, token)) if start else True
+                if fits or fits is None and v.may_follow(before, token):
                     last[end] = token
 
     def truncate(self, size: int) -> None:
@@ -186,14 +190,24 @@ class EditableText:
         return [i for table in self.tables for i in table.tokens()]
 
 
+@lru_cache(maxsize=2)  # a Python worker's tasks share the vocabulary and what has been learnt
+def piece_encoder(ranks_path: str, pattern: str) -> PieceEncoder:
+    matches = TextEncoder(Vocabulary.load(ranks_path), pattern)
+    return PieceEncoder(lambda pieces: (array("I", matches.encode(p)).tobytes() for p in pieces))
+
+
+@lru_cache(maxsize=2)
+def _byte_table(ranks_path: str) -> dict[int, bytes]:
+    return Vocabulary.load(ranks_path).bytes
+
+
 def encode(
     documents: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text: str = "text", ids: str = "ids"
 ) -> DataFrame:
     """``id_col, ids`` (array<int>) for each row. A null or empty text has no ids; repeated rows stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matches = TextEncoder(Vocabulary.load(ranks_path), pattern)
-        encoder = PieceEncoder(lambda pieces: (array("I", matches.encode(p)).tobytes() for p in pieces))
+        encoder = piece_encoder(ranks_path, pattern)
         for batch in batches:
             for first in range(0, batch.num_rows, DOCS):
                 rows = batch.slice(first, DOCS)
@@ -218,7 +232,7 @@ def decode(rows: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decod
     """``rows`` with the bytes of ``ids`` as binary column ``out``; null ids give null, an unknown id ends the job."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = Vocabulary.load(ranks_path).bytes
+        table = _byte_table(ranks_path)
         for batch in batches:
             for first in range(0, batch.num_rows, DOCS):
                 part = batch.slice(first, DOCS)
