@@ -11,10 +11,20 @@ from pyspark.sql import functions as F
 def may_contain(value: str, word: str) -> Column:
     """False only for lines that cannot hold ``word`` as a JSON string.
 
-    A substring test is about three times cheaper than a parse. A letter can hide
-    from it only behind a unicode escape, so lines with one always pass.
+    A substring test is about three times cheaper than a parse. JSON may write any
+    character of a string behind a backslash, so lines with one always pass.
     """
-    return F.col(value).contains(word) | F.col(value).contains("\\u")
+    return F.col(value).contains(word) | F.col(value).contains("\\")
+
+
+def _single(line: Column) -> Column:
+    """False where the line holds more than one JSON value.
+
+    A line whose first closing brace is its last character holds no second one; only the
+    others are read again, as the elements of an array.
+    """
+    one = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
+    return F.coalesce((F.locate("}", line) == F.length(F.rtrim(line))) | one, F.lit(False))
 
 
 def extract_object(
@@ -24,7 +34,8 @@ def extract_object(
     only the lines that are objects, without that column.
 
     The line is wrapped as the only member of an object, so trailing text, two
-    glued records and roots that are not objects all fail the parse. Only the
+    glued records and roots that are not objects all fail the parse; what would
+    splice further members into that frame is found by :func:`_single`. Only the
     named fields are materialised. The one-element ``inline`` keeps later
     filters above the parse: pushed below it, they would parse each line again.
     """
@@ -35,8 +46,9 @@ def extract_object(
     parsed = F.from_json(
         F.concat(F.lit('{"r":'), F.col(value), F.lit("}")), schema, {"columnNameOfCorruptRecord": "bad"}
     )
-    rows = df.select(*kept, parsed.alias("_json")).selectExpr(*kept, "inline(array(_json))")
-    ok = "bad IS NULL AND r IS NOT NULL"
+    framed = df.select(*kept, parsed.alias("_json"), _single(F.col(value)).alias("_single"))
+    rows = framed.selectExpr(*kept, "_single", "inline(array(_json))")
+    ok = "bad IS NULL AND r IS NOT NULL AND _single"
     if drop_broken:
         return rows.filter(ok).selectExpr(*kept, *[f"r.`{n}` AS `{n}`" for n in names])
     return rows.selectExpr(*kept, *[f"if({ok}, r.`{n}`, NULL) AS `{n}`" for n in names], f"({ok}) AS is_object")

@@ -36,6 +36,13 @@ def utc_day(ms: Column) -> Column:
     return F.date_add(F.lit("1970-01-01").cast("date"), days).cast("string")
 
 
+def utc_stamp(ms: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of epoch milliseconds in UTC, whatever the session time zone is."""
+    second = F.pmod(F.floor(in_range(ms) / 1000), F.lit(86_400)).cast("int")
+    parts = (F.floor(second / 3600), F.floor(F.pmod(second, F.lit(3600)) / 60), F.pmod(second, F.lit(60)))
+    return F.concat(utc_day(ms), F.lit(" "), F.format_string("%02d:%02d:%02d", *(p.cast("int") for p in parts)))
+
+
 def bucket(ms: Column, width_ms: int) -> Column:
     """Start of the epoch-aligned bucket that holds ``ms``, 0 for a null. Never null, so a join
     on it adds no null filter that would keep Spark from sharing the two sides' shuffle."""

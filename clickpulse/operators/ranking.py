@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickpulse.functions.times import utc_stamp
 from clickpulse.operators.windows import key_counts
 from clickpulse.schema import HOT_TOP_N
 
@@ -30,7 +31,7 @@ def rank_lines(top: DataFrame) -> DataFrame:
 
 def hot_search_report(top: DataFrame) -> DataFrame:
     """One text block per window. A group holds at most N lines."""
-    stamp = F.date_format(F.timestamp_millis("window_end"), "yyyy-MM-dd HH:mm:ss")
+    stamp = utc_stamp(F.col("window_end"))
     lines = F.transform(F.sort_array(F.collect_list(F.struct("rank", "line"))), lambda x: x["line"])
     return (
         rank_lines(top)
@@ -49,6 +50,12 @@ def hot_search_latest(reports: DataFrame, field: str = "last_hot_search_result")
     return newest.filter("window_end IS NOT NULL").select(F.lit(field).alias("field"), "window_end", "report")
 
 
+def hot_search_newest(counts: DataFrame, n: int = HOT_TOP_N) -> DataFrame:
+    """The newest window's report under one hash field; no other window is ranked or formatted."""
+    newest = counts.agg(F.max("window_end").alias("window_end"))
+    return hot_search_latest(hot_search_report(hot_search_topn(counts.join(newest, "window_end"), n)))
+
+
 def hot_search_by_rank(top: DataFrame) -> DataFrame:
     """The newest line per rank; the field is the text before the first colon."""
     lines = rank_lines(top).withColumn("field", F.trim(F.split_part("line", F.lit(":"), F.lit(1))))
@@ -57,8 +64,8 @@ def hot_search_by_rank(top: DataFrame) -> DataFrame:
 
 def hot_products_topn(events: DataFrame, size: str = "1 hour", slide: str = "10 minutes", n: int = 10) -> DataFrame:
     """Items with most clicks and purchases per sliding window."""
-    touched = events.filter(F.col("behavior").isin("click", "buy") & (F.col("itemId") != ""))
-    counts = key_counts(touched, "itemId", size, slide).withColumnRenamed("word", "item_id")
+    touched = F.col("behavior").isin("click", "buy") & (F.col("itemId") != "")
+    counts = key_counts(events, "itemId", size, slide, touched).withColumnRenamed("word", "item_id")
     best = top_n(counts, ["window_end"], [F.desc("n"), F.asc("item_id")], n)
     return best.select("window_end", "rank", "item_id", "n")
 

@@ -49,14 +49,16 @@ def _each() -> Column:
     return (F.col("tf") > 0) & F.col("doc_id").isNotNull()
 
 
-def inverted_index(documents: DataFrame, *, salt_bits: int = 8) -> DataFrame:
+def inverted_index(documents: DataFrame, *, salts: int | None = None) -> DataFrame:
     """Postings with the document frequency ``df`` of their token. Postings stay rows.
 
-    A common word is in most documents. Its postings are spread over ``2 ** salt_bits`` keys
-    by a hash of the document, and at most that many counts per token are summed. Postings
+    A common word is in most documents. Its postings are spread over ``salts`` keys by a
+    hash of the document, four times the shuffle partitions unless given, so a word in all documents
+    keeps the whole cluster busy; at most that many counts per token are summed. Postings
     are shuffled once.
     """
-    salt = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << salt_bits) - 1).cast("bigint"))
+    salts = salts or 4 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")
     salted = postings(documents).withColumn("salt", salt).repartition("lang", "token", "salt")
     part = salted.groupBy("lang", "token", "salt").agg(F.count_if(_each()).alias("part"))
     totals = part.select(

@@ -146,12 +146,13 @@ _POSTINGS = r"""postings AS (
 _TERMS = ", ".join(f"'{t}'" for t in SEARCH_TERMS)
 
 
-def _closed(inner: str, behavior: str) -> str:
+# Bound of a stream over all records: event time, or the arrival of a line that cannot be read.
+_BOUND = "(SELECT MAX(CASE WHEN ok THEN ts ELSE arrival END) - 5000 FROM e)"
+
+
+def _closed(inner: str, end: str = "window_end") -> str:
     """Windows a stream with a five-second bound has closed once all rows are read."""
-    return (
-        f" SELECT * FROM ({inner}) WHERE window_end <= "
-        f"(SELECT MAX(ts) - 5000 FROM b WHERE behavior = '{behavior}')"
-    )
+    return f" SELECT * FROM ({inner}) WHERE {end} <= {_BOUND}"
 
 
 _GMV_OUT = " SELECT window_start, window_end, CAST(total AS DOUBLE) AS gmv FROM gmv"
@@ -160,7 +161,30 @@ _OLAP = """ SELECT user_id, behavior AS event_type, item AS item_id, ts,
  CAST(COALESCE(age, 18) AS SMALLINT) AS age, COALESCE(level, 'Bronze') AS level, session_id FROM b"""
 
 
+def _session_windows_closed(gap_ms: int) -> str:
+    body = _session_windows(gap_ms)
+    ctes = body[: body.index("\nSELECT user_id")]
+    return ctes + _closed(body[len(ctes) :], "session_end")
+
+
 def all_oracles() -> dict[str, str]:
+    batch = _batch()
+    same = ("parse_behavior", "event_time_fallback", "raw_events", "currency_to_cny")
+    return batch | _streams() | {f"stream_{name}": batch[name] for name in same}
+
+
+def _streams() -> dict[str, str]:
+    online = _slide("online", "", "TRUE", 300_000, 60_000, "COUNT(DISTINCT user_id) AS users")
+    return {
+        "stream_hot_word_counts": _with(_closed(" SELECT word, window_end, n FROM hot"), _hot(*_30S)),
+        "stream_online_users": _with(_closed(" SELECT window_end, users FROM online"), online),
+        "stream_session_windows": _session_windows_closed(WIDE_GAP_MS),
+        "olap_table": _with(_OLAP),
+        "dwd_table": _with(_ARCHIVE),
+    }
+
+
+def _batch() -> dict[str, str]:
     return {
         "parse_behavior": _with(
             """ SELECT user_id AS "userId", eid AS "eventId", session_id AS "sessionId", country AS "countryCode",
@@ -326,8 +350,8 @@ SELECT lang, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS DOUBLE) AS sco
   SELECT *, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, doc_id) AS rank FROM (
     SELECT f.lang, doc_id, SUM(tf * idf) AS score FROM found f JOIN w ON w.lang = f.lang AND w.token = f.token
     GROUP BY 1, 2)) WHERE rank <= 10""",
-        "stream_gmv_tumbling": _with(_closed(_GMV_OUT, "buy"), _gmv(5000)),
-        "stream_hot_search_topn": _with(_closed(_TOP_OUT, "search"), _hot(*_30S), _TOP),
+        "stream_gmv_tumbling": _with(_closed(_GMV_OUT), _gmv(5000)),
+        "stream_hot_search_topn": _with(_closed(_TOP_OUT), _hot(*_30S), _TOP),
         "stream_olap_rows": _with(_OLAP),
         "stream_dwd_rows": _with(_ARCHIVE),
         "stream_monitor_intervals": _with(

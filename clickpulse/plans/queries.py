@@ -141,7 +141,7 @@ BATCH: dict[str, Query] = {
     "hot_search_topn": _top,
     "hot_search_topn_3h": lambda s, d: _top(s, d, "3 hours", "1 hour"),
     "hot_search_report": lambda s, d: ranking.hot_search_report(_top(s, d, "3 hours", "1 hour")),
-    "hot_search_latest": lambda s, d: ranking.hot_search_latest(ranking.hot_search_report(_top(s, d))),
+    "hot_search_latest": lambda s, d: ranking.hot_search_newest(_hot(s, d)),
     "hot_search_by_rank": lambda s, d: ranking.hot_search_by_rank(_top(s, d, "3 hours", "1 hour")),
     # sinks' rows
     "olap_rows": lambda s, d: parse.olap_rows(_raw(s, d)),

@@ -26,6 +26,15 @@ def build_session(app: str = "clickpulse", master: str | None = None, **conf: st
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a new local one only where none is named."""
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
+
+    A local session without the setting gets a new folder, once, and keeps it in the setting. On a
+    cluster the setting is needed, as executors do not see each other's folders.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    return root or tempfile.mkdtemp(prefix="clickpulse-")
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="clickpulse-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpulse.operators.parse import parse_behavior
-from clickpulse.schema import ARCHIVE_SCHEMA, OLAP_SCHEMA
+from clickpulse.schema import ARCHIVE_SCHEMA, OLAP_SCHEMA, TS_MAX_MS, TS_MIN_MS
 
 ARCHIVE_COLUMNS = ["userId", "behavior", "itemId", "ts", "countryCode", "siteId", "price", "currency"]
 
@@ -16,18 +16,23 @@ def create_database(spark: SparkSession, name: str) -> None:
 
 
 def create_archive_table(spark: SparkSession, table: str, path: str) -> None:
-    """Day-partitioned Parquet table over what the archive writer puts under ``path``."""
+    """Day-partitioned Parquet table over what the archive writer puts under ``path``.
+
+    Days show in it once :func:`clickpulse.streaming.sinks.commit_days` has published them.
+    """
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({ARCHIVE_SCHEMA}, batch_id bigint) "
-        f"USING parquet PARTITIONED BY (dt, batch_id) LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {table} ({ARCHIVE_SCHEMA}) USING parquet PARTITIONED BY (dt) LOCATION '{path}'"
     )
 
 
 def create_olap_table(spark: SparkSession, table: str, path: str) -> None:
-    """Parquet table over what the OLAP writer puts under ``path``, sorted by ``ts`` in each file."""
+    """Parquet table over all that the OLAP writer puts under ``path``, sorted by ``ts`` in each file.
+
+    It has no partitions to publish: the folders of all batches are read.
+    """
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({OLAP_SCHEMA}, batch_id bigint) "
-        f"USING parquet PARTITIONED BY (batch_id) LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {table} ({OLAP_SCHEMA}) "
+        f"USING parquet OPTIONS (recursiveFileLookup 'true') LOCATION '{path}'"
     )
 
 
@@ -43,10 +48,11 @@ def register_source_view(raw: DataFrame, name: str) -> None:
 
 
 def archive_query(view: str) -> str:
-    """The archive projection in SQL over :func:`register_source_view`."""
+    """The archive projection in SQL over :func:`register_source_view`, its day in UTC as in ``archive_rows``."""
     return f"""
         SELECT userId AS user_id, behavior, itemId AS item_id, ts, countryCode AS country_code,
                siteId AS site_id, price, currency,
-               from_unixtime(ts DIV 1000, 'yyyy-MM-dd') AS dt
+               CASE WHEN ts BETWEEN {TS_MIN_MS} AND {TS_MAX_MS}
+                    THEN CAST(date_add(DATE '1970-01-01', CAST(floor(ts / 86400000) AS int)) AS string) END AS dt
         FROM {view}
     """

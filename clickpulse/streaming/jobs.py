@@ -2,29 +2,32 @@
 
 Each takes the functions of ``clickpulse.operators`` unchanged and adds the watermark, the
 checkpoint and the trigger. Windows are emitted once, when the watermark has passed them.
-The watermark advances on the rows a job keeps after its filters.
+The watermark advances on all records of the source, before any filter.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickpulse.operators import monitor, parse, ranking, sessions, windows
-from clickpulse.schema import GMV_WINDOW, HOT_SLIDE, HOT_TOP_N, HOT_WINDOW, MONITOR_INTERVAL_S
+from clickpulse.operators import enrich, monitor, parse, ranking, sessions, windows
+from clickpulse.schema import GMV_WINDOW, HOT_SLIDE, HOT_TOP_N, HOT_WINDOW, MONITOR_INTERVAL_S, TS_MAX_MS
 from clickpulse.session import checkpoint_root
-from clickpulse.sources import tables
+from clickpulse.sources import catalog, tables
 from clickpulse.streaming import sinks
 
 LATENESS = "5 seconds"
+ALL = {"availableNow": True}
 
 # How often each job commits its progress.
 HOT_TRIGGER = {"processingTime": "5 seconds"}
 SINK_TRIGGER = {"processingTime": "10 seconds"}
 JDBC_TRIGGER = {"processingTime": "2 seconds"}
+MONITOR_TRIGGER = {"processingTime": "2 seconds"}
 
 
 def start(
@@ -37,21 +40,22 @@ def start(
     return writer.trigger(**(trigger or {"processingTime": "0 seconds"})).start()
 
 
-def start_console(rows: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Starts a query that prints each micro-batch."""
-    writer = rows.writeStream.outputMode("append").format("console").option("truncate", "false")
-    writer = writer.option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"processingTime": "0 seconds"})).start()
+def _all_records(raw: DataFrame, fields: list[str]) -> DataFrame:
+    """Typed rows of every record behind a watermark that all of them advance, whatever their behaviour.
+
+    A line that cannot be read counts by its arrival time. Every line is parsed for that, which a
+    filter on the text would save: the price of windows that close on time when, say, nobody buys.
+    """
+    events = parse.parse_behavior(raw, fields, on_error="keep")
+    return events.withWatermark("event_ts", LATENESS)
 
 
 def gmv(raw: DataFrame, size: str = GMV_WINDOW) -> DataFrame:
-    events = parse.parse_behavior(raw, ["behavior", "priceCNY"], only="buy")
-    return windows.gmv_tumbling(events.withWatermark("event_ts", LATENESS), size)
+    return windows.gmv_tumbling(_all_records(raw, ["behavior", "priceCNY"]), size)
 
 
 def hot_words(raw: DataFrame, size: str = HOT_WINDOW, slide: str = HOT_SLIDE) -> DataFrame:
-    events = parse.parse_behavior(raw, ["behavior", "searchTerm"], only="search")
-    return windows.hot_word_counts(events.withWatermark("event_ts", LATENESS), size, slide)
+    return windows.hot_word_counts(_all_records(raw, ["behavior", "searchTerm"]), size, slide)
 
 
 def monitored(raw: DataFrame, seconds: int = MONITOR_INTERVAL_S) -> DataFrame:
@@ -59,13 +63,17 @@ def monitored(raw: DataFrame, seconds: int = MONITOR_INTERVAL_S) -> DataFrame:
 
 
 def online(raw: DataFrame, size: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
-    events = parse.parse_behavior(raw, ["userId"])
-    return windows.online_users(events.withWatermark("event_ts", LATENESS), size, slide, approximate=True)
+    return windows.online_users(_all_records(raw, ["userId"]), size, slide)
 
 
 def user_sessions(raw: DataFrame, gap: str = "5 minutes") -> DataFrame:
-    events = parse.parse_behavior(raw, ["userId"])
-    return sessions.session_windows(events.withWatermark("event_ts", LATENESS), gap)
+    return sessions.session_windows(_all_records(raw, ["userId"]), gap)
+
+
+def priced(raw: DataFrame) -> DataFrame:
+    """Purchases with their amount in CNY, row by row."""
+    fields = ["eventId", "countryCode", "behavior", "price", "currency"]
+    return enrich.with_site(enrich.with_cny(parse.parse_behavior(raw, fields, only="buy")), out="site_id")
 
 
 def ranked(
@@ -80,21 +88,54 @@ def ranked(
     return rank_and_write
 
 
-def reported(writers: list[sinks.BatchWriter], n: int = HOT_TOP_N) -> sinks.BatchWriter:
-    """Makes the newest report of a batch and hands it to several writers."""
+def reported(
+    every: Sequence[sinks.BatchWriter], newest: Sequence[sinks.BatchWriter] = (), n: int = HOT_TOP_N
+) -> sinks.BatchWriter:
+    """Makes the report of each window of a batch. Writers in ``every`` get them all, those in
+    ``newest`` the latest one, under its hash field."""
 
     def report_and_write(batch: DataFrame, batch_id: int) -> None:
-        reports = ranking.hot_search_report(ranking.hot_search_topn(batch, n))
-        latest = ranking.hot_search_latest(reports).persist()
+        reports = ranking.hot_search_report(ranking.hot_search_topn(batch, n)).persist()
         try:
-            for write in writers:
+            for write in every:
+                write(reports, batch_id)
+            latest = ranking.hot_search_latest(reports)
+            for write in newest:
                 write(latest, batch_id)
         finally:
-            latest.unpersist()
+            reports.unpersist()
 
     return report_and_write
 
 
+def by_rank(writers: Sequence[sinks.BatchWriter], n: int = HOT_TOP_N) -> sinks.BatchWriter:
+    """Hands the newest line of each rank, under the field before its colon, to several writers."""
+
+    def rank_and_write(batch: DataFrame, batch_id: int) -> None:
+        lines = ranking.hot_search_by_rank(ranking.hot_search_topn(batch, n)).persist()
+        try:
+            for write in writers:
+                write(lines, batch_id)
+        finally:
+            lines.unpersist()
+
+    return rank_and_write
+
+
+def gmv_job(
+    raw: DataFrame, write: sinks.BatchWriter, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """A line per closed window; with :func:`clickpulse.streaming.sinks.printer` it prints them."""
+    return start(windows.gmv_report(gmv(raw)), write, checkpoint, trigger)
+
+
+def monitor_job(
+    raw: DataFrame, write: sinks.BatchWriter, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """The dashboard's numbers, every interval once."""
+    return start(monitored(raw), write, checkpoint, trigger or MONITOR_TRIGGER)
+
+
 def olap_job(raw: DataFrame, write: sinks.BatchWriter, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     return start(parse.olap_rows(raw), write, checkpoint, trigger or JDBC_TRIGGER)
 
@@ -111,9 +152,29 @@ def index_job(raw: DataFrame, write: sinks.BatchWriter, checkpoint: str, trigger
 
 
 def hot_search_job(
-    raw: DataFrame, write: sinks.BatchWriter, checkpoint: str, n: int = HOT_TOP_N, trigger: dict | None = None
+    raw: DataFrame,
+    checkpoint: str,
+    *,
+    every: Sequence[sinks.BatchWriter] = (),
+    newest: Sequence[sinks.BatchWriter] = (),
+    ranks: Sequence[sinks.BatchWriter] = (),
+    n: int = HOT_TOP_N,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    return start(hot_words(raw), ranked(write, n), checkpoint, trigger or HOT_TRIGGER)
+    """The ranking job: each report to ``every``, the newest to ``newest``, each rank's newest line to
+    ``ranks``. A listener sees ``total_search_count`` of each batch under the metric ``hot_search``."""
+    report, line = reported(every, newest, n), by_rank(ranks, n)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.persist()
+        try:
+            report(counts, batch_id)
+            if ranks:
+                line(counts, batch_id)
+        finally:
+            counts.unpersist()
+
+    return start(windows.with_search_metric(hot_words(raw)), write, checkpoint, trigger or HOT_TRIGGER)
 
 
 # ---- queries over the tables, run as streams to their end ----
@@ -134,13 +195,26 @@ def _drain(make: Callable[[DataFrame], DataFrame], wrap=None, shape: Callable[[D
         like = shape(rows) if shape else rows
         base = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex}"
         write = sinks.file_writer(f"{base}/out")
-        running = start(rows, wrap(write) if wrap else write, f"{base}/checkpoint", {"availableNow": True})
+        running = start(rows, wrap(write) if wrap else write, f"{base}/checkpoint", ALL)
         running.awaitTermination()
         return sinks.read_files(spark, f"{base}/out", like)
 
     return query
 
 
+def _typed(raw: DataFrame) -> DataFrame:
+    rows = parse.parse_behavior(raw)
+    money = {n: F.col(n).cast("double") for n in ("price", "priceCNY")}
+    return rows.withColumns(money).withColumn("event_ms", F.unix_millis("event_ts")).drop("event_ts", "timestamp")
+
+
+def _amounts(raw: DataFrame) -> DataFrame:
+    return priced(raw).select(
+        "eventId", "countryCode", "site_id", "currency",
+        F.col("price").cast("double").alias("price"), F.col("price_cny").cast("double").alias("price_cny"),
+    )
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "stream_gmv_tumbling": _drain(gmv),
@@ -148,9 +222,38 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_olap_rows": _drain(parse.olap_rows),
         "stream_dwd_rows": _drain(parse.archive_rows),
         "stream_monitor_intervals": _drain(lambda raw: monitored(raw, 3600)),
+        "stream_parse_behavior": _drain(_typed),
+        "stream_event_time_fallback": _drain(parse.event_time_fallback),
+        "stream_hot_word_counts": _drain(hot_words),
+        "stream_raw_events": _drain(parse.raw_documents),
+        "stream_currency_to_cny": _drain(_amounts),
+        "stream_session_windows": _drain(lambda raw: user_sessions(raw, "12 hours")),
+        "stream_online_users": _drain(online),
+        "olap_table": olap_table,
+        "dwd_table": dwd_table,
     }
 
 
+def olap_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The OLAP job over all records, read back through the catalog's table."""
+    base = f"{checkpoint_root(spark)}/olap-{uuid.uuid4().hex}"
+    olap_job(stream_records(spark, sf_dir), sinks.olap_writer(f"{base}/out"), f"{base}/checkpoint", ALL).awaitTermination()
+    table = f"olap_{uuid.uuid4().hex}"
+    catalog.create_olap_table(spark, table, f"{base}/out")
+    return spark.table(table)
+
+
+def dwd_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive job over all records, every day published, read back through the catalog's table."""
+    base = f"{checkpoint_root(spark)}/dwd-{uuid.uuid4().hex}"
+    path, arrivals = f"{base}/out", f"{base}/arrivals"
+    archive_job(stream_records(spark, sf_dir), path, arrivals, f"{base}/checkpoint", ALL).awaitTermination()
+    table = f"dwd_{uuid.uuid4().hex}"
+    catalog.create_archive_table(spark, table, path)
+    sinks.commit_days(spark, path, arrivals, TS_MAX_MS, table=table)
+    return spark.table(table)
+
+
 def _ranked_shape(counts: DataFrame) -> DataFrame:
     """An empty frame with the columns that ranking the counts gives."""
     spark = counts.sparkSession

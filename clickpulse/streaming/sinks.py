@@ -81,13 +81,23 @@ def topic_writer(servers: str, topic: str, **options: str) -> BatchWriter:
     return write
 
 
-def latest_writer(put: Callable[[str, str], None]) -> BatchWriter:
-    """Calls ``put(field, report)`` with the newest report of a batch: one row, by design of
-    the report. ``put`` is a hash store's upsert, such as HSET on a fixed hash."""
+def upsert_writer(put: Callable[[str, str], None], value: str = "report") -> BatchWriter:
+    """Calls ``put(field, value)`` for every row of a batch: a report, or a line for each rank.
+    ``put`` is a hash store's upsert, such as HSET on a fixed hash."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        for row in batch.take(1):
-            put(row["field"], row["report"])
+        for row in batch.select("field", value).toLocalIterator():
+            put(row["field"], row[value])
+
+    return write
+
+
+def printer(column: str, order: str = "window_end", out: Callable[[str], None] = print) -> BatchWriter:
+    """Prints a text column of every row of a batch: one line or report per closed window."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        for row in batch.orderBy(order).select(column).toLocalIterator():
+            out(row[column])
 
     return write
 
@@ -101,20 +111,47 @@ def latest_value(stored: DataFrame) -> DataFrame:
 
 def archive_writer(path: str, arrivals: str) -> BatchWriter:
     """Archive rows into ``dt`` folders, and per batch the first arrival of each day, which
-    :func:`commit_days` reads. Rows carry the arrival ``timestamp``."""
+    :func:`commit_days` reads. Rows carry the arrival ``timestamp``.
+
+    A batch is staged first. Its files then move into the day folders under names that its number
+    fixes, after any of an earlier run of the same batch are gone, so a replay leaves no duplicates
+    and the catalog needs one partition per day. Only the batch's file names come to the driver.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.persist()
         try:
-            _write_batch(rows.drop("timestamp"), batch_id, path, "parquet", ("dt",))
+            staged = f"{path}/_staged/batch-{batch_id}"
+            rows.drop("timestamp").write.mode("overwrite").partitionBy("dt").parquet(staged)
             first = rows.groupBy("dt").agg(F.min("timestamp").alias("timestamp"))
             _write_batch(first, batch_id, arrivals, "parquet", ())
+            _move_days(batch.sparkSession, staged, path, batch_id)
         finally:
             rows.unpersist()
 
     return write
 
 
+def _move_days(spark: SparkSession, staged: str, path: str, batch_id: int) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    source = hadoop.Path(staged)
+    system = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for day in system.globStatus(hadoop.Path(f"{staged}/dt=*")) or ():
+        target = hadoop.Path(f"{path}/{day.getPath().getName()}")
+        system.mkdirs(target)
+        for old in system.globStatus(hadoop.Path(target, f"batch-{batch_id}-*")) or ():
+            system.delete(old.getPath(), False)
+        names = sorted(f.getPath().getName() for f in system.listStatus(day.getPath()) if f.getPath().getName()[0] not in "._")
+        for number, name in enumerate(names):
+            moved = system.rename(hadoop.Path(day.getPath(), name), hadoop.Path(target, f"batch-{batch_id}-{number}.parquet"))
+            if not moved:
+                raise OSError(f"{day.getPath()}/{name} did not move to {target}")
+    system.delete(source, True)
+
+
+NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
 def commit_days(
     spark: SparkSession,
     path: str,
@@ -123,22 +160,18 @@ def commit_days(
     *,
     table: str | None = None,
     delay_ms: int = COMMIT_DELAY_MS,
-) -> list[str]:
+) -> list[str | None]:
     """Publishes the days that are due: a ``_SUCCESS`` file in the day's folder and, where a
-    table is named, the partitions of theirs that the catalog lacks, one statement per day.
-    Safe to run again. Only day names and batch numbers come to the driver."""
+    table is named, one partition in the catalog. Rows without a readable time have the day null,
+    in the default partition. Safe to run again; only day names come to the driver."""
     seen = spark.read.schema("dt string, timestamp timestamp, batch_id bigint").parquet(arrivals)
-    due = partition_commits(seen, as_of_ms, delay_ms).filter("committed AND dt IS NOT NULL").select("dt")
-    days = sorted(row["dt"] for row in due.toLocalIterator())
+    due = partition_commits(seen, as_of_ms, delay_ms).filter("committed").select("dt")
+    days = sorted((row["dt"] for row in due.toLocalIterator()), key=lambda d: (d is None, d))
     for day in days:
-        _touch(spark, f"{path}/dt={day}/_SUCCESS")
-    if table:
-        known = spark.sql(f"SHOW PARTITIONS {table}")
-        written = seen.join(due, "dt").selectExpr("dt", "batch_id", "concat('dt=', dt, '/batch_id=', batch_id) AS partition")
-        missing = written.distinct().join(known, "partition", "left_anti")
-        for row in missing.groupBy("dt").agg(F.collect_list("batch_id").alias("ids")).toLocalIterator():
-            parts = " ".join(f"PARTITION (dt = '{row['dt']}', batch_id = {i})" for i in row["ids"])
-            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
+        _touch(spark, f"{path}/dt={NULL_DAY if day is None else day}/_SUCCESS")
+        if table:
+            spec = "null" if day is None else f"'{day}'"
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (dt = {spec})")
     return days
 
 

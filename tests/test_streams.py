@@ -8,9 +8,11 @@ import os
 import pytest
 from conftest import SMALL, instant
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from clickpulse.operators import parse, ranking, sessions, windows
 from clickpulse.schema import RAW_SCHEMA
+from clickpulse.session import checkpoint_root
 from clickpulse.sources import catalog, endpoints, records as record_sources, tables
 from clickpulse.streaming import jobs, sinks
 
@@ -103,15 +105,109 @@ def test_online_users_stream(spark, history, tmp_path):
     assert got == {r["window_end"]: r["users"] for r in exact.collect()}
 
 
+class MetricListener(StreamingQueryListener):
+    """Adds up the job's metric over all micro-batches."""
+
+    def __init__(self):
+        self.total = 0
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        if "hot_search" in event.progress.observedMetrics:
+            self.total += event.progress.observedMetrics["hot_search"]["total_search_count"]
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+def event(behavior, ts, arrival=None, **more):
+    value = json.dumps({"behavior": behavior, "userId": "U", "ts": ts, **more})
+    return ("U", value, ts if arrival is None else arrival)
+
+
+@pytest.mark.parametrize("behavior, make", [("buy", jobs.gmv), ("search", jobs.hot_words)])
+@pytest.mark.parametrize("later", [
+    lambda ts: event("click", ts),
+    lambda ts: event("error", ts),
+    lambda ts: ("U", "broken {", ts),
+    lambda ts: event("click", "unreadable", ts),
+])
+def test_every_record_advances_the_watermark(spark, tmp_path, behavior, make, later):
+    """A purchase or a search is followed by other records only; its windows close all the same."""
+    first = event(behavior, 1000, priceCNY=5, searchTerm="a")
+    folder = write_files(tmp_path / "in", [[first], [later(3_600_000)], [later(7_200_000)]])
+    path, rows = drain(spark, folder, make, tmp_path)
+    ends = sorted(r["window_end"] for r in sinks.read_files(spark, path, rows).collect())
+    assert ends == ([5000] if behavior == "buy" else [10_000, 20_000, 30_000])
+
+
+def test_late_rows_within_the_bound_count_and_later_ones_do_not(spark, tmp_path):
+    """Window 0 to 5 s closes once 10 s are reached; Spark's filter follows one micro-batch later."""
+    buys = [event("buy", ts, priceCNY=1) for ts in (1000, 9900, 2000, 60_000, 61_000, 3000, 120_000)]
+    folder = write_files(tmp_path / "in", [[b] for b in buys])
+    path, rows = drain(spark, folder, jobs.gmv, tmp_path)
+    got = {r["window_end"]: r["gmv"] for r in sinks.read_files(spark, path, rows).collect()}
+    # 2 s came 7.9 s late but before the window closed; 3 s came after two batches beyond 10 s
+    assert got == {5000: 2.0, 10_000: 1.0, 65_000: 2.0}
+
+
+def test_gmv_and_monitor_jobs_write_every_window(spark, tmp_path):
+    rows = [event("buy", 1000, priceCNY=2.345), event("click", 2500), event("buy", 8000, priceCNY=1), event("click", 60_000)]
+    folder = write_files(tmp_path / "in", [rows[:2], rows[2:]])
+    lines = []
+    raw = record_sources.file_stream(spark, folder, files_per_trigger=1)
+    jobs.gmv_job(raw, sinks.printer("line", out=lines.append), f"{tmp_path}/ck", NOW).awaitTermination()
+    assert lines == ["GMV (CNY): 2.35", "GMV (CNY): 1.00"]
+    raw = record_sources.file_stream(spark, folder, files_per_trigger=1)
+    jobs.monitor_job(raw, sinks.file_writer(f"{tmp_path}/mon"), f"{tmp_path}/ck2", NOW).awaitTermination()
+    got = {r["window_start"]: r["cnt"] for r in spark.read.parquet(f"{tmp_path}/mon").collect()}
+    assert got == {0: 1, 2000: 1, 8000: 1}
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext = Context
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session)
+
+
 def test_latest_report_goes_to_the_hash(spark, tmp_path):
     rows = [("U", json.dumps({"behavior": "search", "searchTerm": w, "ts": ts}), ts)
             for w, ts in (("a", 1000), ("b", 61_000), ("b", 62_000))]
     folder = write_files(tmp_path / "in", [rows[:1], rows[1:], sentinel("search")])
     store = {}
     files = sinks.file_writer(f"{tmp_path}/out")
-    write = jobs.reported([sinks.latest_writer(store.__setitem__), files])
+    printed, ranks = [], {}
     raw = record_sources.file_stream(spark, folder, files_per_trigger=1)
-    jobs.start(jobs.hot_words(raw), write, f"{tmp_path}/ck", NOW).awaitTermination()
+    seen = MetricListener()
+    spark.streams.addListener(seen)
+    try:
+        jobs.hot_search_job(
+            raw,
+            f"{tmp_path}/ck",
+            every=[sinks.printer("report", out=printed.append)],
+            newest=[sinks.upsert_writer(store.__setitem__), files],
+            ranks=[sinks.upsert_writer(ranks.__setitem__, "line")],
+            trigger=NOW,
+        ).awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    finally:
+        spark.streams.removeListener(seen)
+    # a at 1 s is in the windows that end at 10, 20 and 30 s, both b in those that end at 70, 80 and 90 s
+    assert [p.split("\n")[1] for p in printed] == ["Top 1: a (1)"] * 3 + ["Top 1: b (2)"] * 3
+    assert ranks == {"Top 1": "Top 1: b (2)"} and seen.total == 6
     want = "Hot search 1970-01-01 00:01:30\nTop 1: b (2)"
     assert store == {"last_hot_search_result": want}
     stored = spark.read.parquet(f"{tmp_path}/out")
@@ -150,36 +246,49 @@ def test_failed_batch_leaves_no_duplicates(spark, history, tmp_path):
 
 
 def test_archive_days_and_commits(spark, history, tmp_path):
-    folder = write_files(tmp_path / "in", chunks(history))
+    """The whole table, a day of rows without a time included, and a batch that runs twice."""
+    lost = [("U", '{"behavior":"click","userId":"U","itemId":"x","ts":"zz"}', history[-1][2])] * 3
+    everything = [*history, *lost]
+    folder = write_files(tmp_path / "in", chunks(everything))
     path, arrivals = f"{tmp_path}/dwd", f"{tmp_path}/arrivals"
+    write, runs = sinks.archive_writer(path, arrivals), []
+
+    def twice(rows, batch_id):
+        write(rows, batch_id)
+        write(rows, batch_id)
+        runs.append(batch_id)
+
     raw = record_sources.file_stream(spark, folder, files_per_trigger=1)
-    jobs.archive_job(raw, path, arrivals, f"{tmp_path}/ck", NOW).awaitTermination()
+    rows = parse.archive_rows(raw, keep=["timestamp"])
+    jobs.start(rows, twice, f"{tmp_path}/ck", NOW).awaitTermination()
+    assert len(runs) == 4
     catalog.create_database(spark, "warehouse_db")
-    catalog.create_archive_table(spark, "warehouse_db.behavior_dwd", path)
-    want = parse.archive_rows(batch(spark, history))
-    first = {r["dt"]: r["ms"] for r in parse.archive_rows(batch(spark, history), keep=["timestamp"]).groupBy("dt").agg(
-        F.min(F.unix_millis("timestamp")).alias("ms")).collect()}
-    days = sorted(first)
-    as_of = first[days[4]] + 60_000
     table = "warehouse_db.behavior_dwd"
-    done = sinks.commit_days(spark, path, arrivals, as_of, table=table)
-    assert done == days[:5]
-    marked = sorted(d[3:] for d in os.listdir(path) if os.path.exists(f"{path}/{d}/_SUCCESS") and d.startswith("dt="))
+    catalog.create_archive_table(spark, table, path)
+    want = parse.archive_rows(batch(spark, everything))
+    arrived = parse.archive_rows(batch(spark, everything), keep=["timestamp"]).groupBy("dt")
+    first = {r["dt"]: r["ms"] for r in arrived.agg(F.min(F.unix_millis("timestamp")).alias("ms")).collect()}
+    days = sorted(d for d in first if d)
+    as_of = first[days[4]] + 60_000
+    assert sinks.commit_days(spark, path, arrivals, as_of, table=table) == days[:5]
+    marked = sorted(d[3:] for d in os.listdir(path) if d.startswith("dt=") and os.path.exists(f"{path}/{d}/_SUCCESS"))
     assert marked == days[:5]
-    assert sinks.commit_days(spark, path, arrivals, as_of, table=table) == done
-    assert same(spark.read.parquet(path).drop("batch_id").withColumn("dt", F.col("dt").cast("string")), want)
-    one_day = spark.table(table).filter(f"dt = '{days[0]}'")
-    assert one_day.count() == want.filter(f"dt = '{days[0]}'").count()
+    assert same(spark.table(table), want.filter(F.col("dt").isin(days[:5])))
+    for _ in range(2):
+        assert sinks.commit_days(spark, path, arrivals, FAR, table=table) == [*days, None]
+    assert same(spark.table(table), want)
+    assert spark.sql(f"SHOW PARTITIONS {table}").count() == len(days) + 1
+    assert spark.table(table).filter("dt IS NULL").count() == 3
 
 
 def test_olap_table(spark, history, tmp_path):
-    folder = write_files(tmp_path / "in", [history])
-    raw = record_sources.file_stream(spark, folder)
+    folder = write_files(tmp_path / "in", chunks(history, 2))
+    raw = record_sources.file_stream(spark, folder, files_per_trigger=1)
     jobs.olap_job(raw, sinks.olap_writer(f"{tmp_path}/olap"), f"{tmp_path}/ck", NOW).awaitTermination()
     catalog.create_database(spark, "olap_db")
     catalog.create_olap_table(spark, "olap_db.behavior_olap", f"{tmp_path}/olap")
     stored = spark.read.parquet(f"{tmp_path}/olap")
-    assert same(stored.drop("batch_id"), parse.olap_rows(batch(spark, history)))
+    assert same(spark.table("olap_db.behavior_olap"), parse.olap_rows(batch(spark, history)))
     file = stored.inputFiles()[0]
     ts = [r["ts"] for r in spark.read.parquet(file).collect()]
     assert ts == sorted(ts)
