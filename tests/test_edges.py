@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickpulse.operators import archive, enrich, monitor, parse, profile, ranking, sessions, windows
+from clickpulse.schema import RATES
+from clickpulse.sources import catalog
 
 
 def lines(*events, start=0):
@@ -121,7 +123,9 @@ def test_session_default_is_stable(records):
 
 
 NOT_OBJECTS = ["[1]", "null", '"x"', "", "bad", '{"behavior":"buy"', '{"ts":1}{"ts":2}', '{"ts":1},{"ts":2}',
-               '{"ts":1} trailing', '[{"ts":1}]', '{"behavior":"bu']
+               '{"ts":1} trailing', '[{"ts":1}]', '{"behavior":"bu',
+               '{"behavior":"buy","priceCNY":5,"ts":1},"x":1', '{"ts":1},"x":{"a":1}', '{"ts":1}],"y":[{"a":1}',
+               '{"a":{"b":1},"ts":1},"x":{}']
 
 
 def test_lines_that_are_no_object(records):
@@ -135,6 +139,28 @@ def test_lines_that_are_no_object(records):
     assert parse.raw_documents(raw).filter(F.length("event_id") == 64).count() == len(NOT_OBJECTS)
 
 
+def test_objects_with_braces_inside_are_no_splices(records):
+    values = ['{"behavior":"buy","x":{"a":{}},"ts":1}', '{"behavior":"buy","x":"},\\"y\\":{","ts":1}', ' {"behavior":"buy","ts":1} \t']
+    assert parse.parse_behavior(records(*[(v, 1) for v in values]), only="buy").count() == len(values)
+
+
+@pytest.mark.parametrize("word, line", [
+    ("a/b", r'{"behavior":"a\/b","ts":1}'),
+    ('a"b', r'{"behavior":"a\"b","ts":1}'),
+    ("a\tb", r'{"behavior":"a\tb","ts":1}'),
+    ("a\\b", r'{"behavior":"a\\b","ts":1}'),
+    ("buy", r'{"behavior":"\u0062uy","ts":1}'),
+])
+def test_only_finds_escaped_words(records, word, line):
+    assert json.loads(line)["behavior"] == word
+    assert parse.parse_behavior(records((line, 1), ('{"behavior":"other","ts":1}', 1)), only=word).count() == 1
+
+
+def test_amounts_that_do_not_fit_are_rejected_and_counted(records):
+    raw = records(*lines({"userId": "U", "behavior": "buy", "ts": 1, "priceCNY": 1e21}, buy(2, userId="U")))
+    assert {r["reason"]: r["n"] for r in parse.reject_report(raw).collect()} == {"bad_price": 1, "ok": 1}
+
+
 def test_fail_mode_raises(records):
     good, bad = records(('{"ts":1}', 1)), records(("bad", 1))
     assert parse.parse_behavior(good, ["ts"], on_error="fail").count() == 1
@@ -249,13 +275,29 @@ def test_funnel_needs_the_order(records):
 
 
 def test_day_boundary(records, spark):
-    raw = records(*lines({"ts": 1_704_067_199_999}, {"ts": 1_704_067_200_000}))
+    """Both forms of the archive give UTC days in any session, also before 1970 and beyond the calendar."""
+    stamps = [1_704_067_199_999, 1_704_067_200_000, 1_704_063_600_000, -1, 0, 9 * 10**18, -9 * 10**18]
+    raw = records(*lines(*({"ts": t} for t in stamps)))
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     try:
-        days = sorted(r["dt"] for r in parse.archive_rows(raw).collect())
+        catalog.register_source_view(raw, "tokyo")
+        days = {r["ts"]: r["dt"] for r in parse.archive_rows(raw).collect()}
+        in_sql = {r["ts"]: r["dt"] for r in spark.sql(catalog.archive_query("tokyo")).collect()}
+        top = spark.createDataFrame([(1_704_067_199_999, 1, "a", 2)], "window_end long, rank int, word string, n long")
+        report = one(ranking.hot_search_report(top))["report"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert days == ["2023-12-31", "2024-01-01"]
+    want = ["2023-12-31", "2024-01-01", "2023-12-31", "1969-12-31", "1970-01-01", None, None]
+    assert days == in_sql == dict(zip(stamps, want))
+    assert report.startswith("Hot search 2023-12-31 23:59:59\n")
+
+
+def test_fixed_rates():
+    """The rates of the contract, written out, as the SQL oracle takes them from the same place as the code."""
+    assert {(c, cur): float(r) for _, c, cur, r in RATES} == {
+        ("US", "USD"): 7.2, ("DE", "EUR"): 7.8, ("UK", "GBP"): 9.2, ("JP", "JPY"): 0.048,
+        ("AU", "AUD"): 4.7, ("CA", "CAD"): 5.3, ("CN", "CNY"): 1.0, ("KR", "KRW"): 0.0054,
+    }
 
 
 @pytest.mark.parametrize("as_of, committed", [(59_999, False), (60_000, True)])
