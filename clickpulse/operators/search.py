@@ -58,7 +58,8 @@ def inverted_index(documents: DataFrame, *, salts: int | None = None) -> DataFra
     are shuffled once.
     """
     salts = salts or 4 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")
+    # never null, so that the join on it adds no filter that would keep the two sides' shuffle apart
+    salt = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"), F.lit(0))
     salted = postings(documents).withColumn("salt", salt).repartition("lang", "token", "salt")
     part = salted.groupBy("lang", "token", "salt").agg(F.count_if(_each()).alias("part"))
     totals = part.select(

@@ -73,6 +73,20 @@ def test_texts_are_read_once(spark, name):
     assert len(re.findall(r"FileScan parquet \[.*text#", text)) == 1
 
 
+@pytest.mark.parametrize("name", ["hot_word_counts", "hot_products_topn", "online_users"])
+def test_rows_are_reduced_before_they_are_copied_to_windows(spark, name):
+    """No copy of a raw row lies below the first shuffle; the copies are of pane counts or distinct users."""
+    lines = plan(BATCH[name](spark, SMALL)).splitlines()
+    copies = [i for i, line in enumerate(lines) if "Expand" in line or "Generate explode(sequence" in line]
+    shuffles = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert copies and max(shuffles) > max(copies)
+
+
+def test_only_the_newest_window_is_ranked(spark):
+    text = plan(BATCH["hot_search_latest"](spark, SMALL))
+    assert text.index("Window [row_number") < text.index("Join")
+
+
 @pytest.mark.parametrize("name", [n for n in BATCH])
 def test_no_raw_rows_in_one_task(spark, name):
     """A single partition takes only partial aggregates."""
