@@ -35,7 +35,8 @@ def gmv_by_day_country(archive: DataFrame) -> DataFrame:
 
 def profile_enrich(events: DataFrame, profiles: DataFrame, user: str = "userId") -> DataFrame:
     """Profile columns ``age`` and ``level`` joined on the user; a user without a profile keeps
-    the event's own values, then the defaults.
+    the event's own values, then the defaults. ``profiles`` holds one row per user: a second one
+    would double the user's events.
 
     No hint is given: Spark broadcasts the profiles only where their measured size is under
     its limit. Beyond it this is a shuffle join whose hot users are split at run time.

@@ -85,15 +85,20 @@ def monitor_intervals(raw: DataFrame, seconds: int = MONITOR_INTERVAL_S, *, fill
 
 
 def _fill_empty(counts: DataFrame, step_ms: int) -> DataFrame:
-    """Left join on every interval start between the first and the last. The starts are made
-    hour by hour, spread over tasks, so that no single array spans the whole range."""
+    """Left join on every interval start between the first and the last.
+
+    One row lists the days only; they are spread over tasks, which list hours and then intervals.
+    """
     hour = max(3_600_000 // step_ms, 1) * step_ms
     span = counts.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi")).filter("lo IS NOT NULL")
-    hours = span.select("hi", F.explode(F.sequence("lo", "hi", F.lit(hour).cast("bigint"))).alias("from"))
-    last = F.least("hi", F.col("from") + F.lit(hour - step_ms))
-    starts = hours.repartition("from").select(
-        F.explode(F.sequence("from", last, F.lit(step_ms).cast("bigint"))).alias("window_start")
-    )
+
+    def split(rows: DataFrame, width: int, step: int, name: str) -> DataFrame:
+        last = F.least("hi", F.col("from") + F.lit(width - step))
+        return rows.select("hi", F.explode(F.sequence("from", last, F.lit(step).cast("bigint"))).alias(name))
+
+    days = span.select("hi", F.explode(F.sequence("lo", "hi", F.lit(24 * hour).cast("bigint"))).alias("from"))
+    hours = split(days.repartition("from"), 24 * hour, hour, "from")
+    starts = split(hours, hour, step_ms, "window_start").drop("hi")
     return starts.join(counts, "window_start", "left").fillna(0, subset=list(_COUNTS))
 
 
@@ -124,7 +129,7 @@ def lateness_profile(
     quantiles: tuple[float, ...] = (),
 ) -> DataFrame:
     """Per arrival day: delayed rows, largest delay, rows beyond the bound, and rows that
-    arrive after a newer event of the same user.
+    arrive after a newer event of the same user. Rows without a user count, but are in no order.
 
     The running maximum per user is cut into chunks of arrival time. A chunk's rows are
     ordered in one task; the maximum of all earlier chunks comes from one summary row per
@@ -147,7 +152,7 @@ def lateness_profile(
         "userId", "chunk", F.max(F.greatest("newest_before", "event_ms")).over(earlier_chunks).alias("carry")
     )
     marked = marked.join(carried, ["userId", "chunk"])
-    late = F.col("event_ms") < F.greatest("newest_before", "carry")
+    late = (F.col("event_ms") < F.greatest("newest_before", "carry")) & (F.col("userId") != "")
     delay = F.col("arrival") - F.col("event_ms")
     counts = marked.groupBy(utc_day(F.col("arrival")).alias("day")).agg(
         F.count(F.lit(1)).alias("n"),

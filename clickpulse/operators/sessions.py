@@ -30,10 +30,10 @@ def sessionize(
     purchase comes last.
 
     A row's number is one plus the purchases and the inactivity breaks before it; a break
-    right after a purchase is not counted twice. Without ``keep`` columns the rows and the
-    summaries come from one shuffle of one scan.
+    right after a purchase is not counted twice. Rows without a user belong to no session and are
+    left out. Without ``keep`` columns the rows and the summaries come from one shuffle of one scan.
     """
-    rows = events.select(
+    rows = events.filter(F.col(user).isNotNull()).select(
         F.coalesce(user, F.lit("")).alias(user),
         tie,
         F.coalesce("behavior", F.lit("")).alias("behavior"),

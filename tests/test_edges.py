@@ -335,6 +335,14 @@ def test_encode_leaves_nulls_out(records):
     assert row["key"] == "U1" and json.loads(row["value"]) == {"userId": "U1", "behavior": "click", "ts": 5}
 
 
+def test_rows_without_a_user_are_in_no_session_and_no_order(records):
+    raw = records(*[(json.dumps({"behavior": "click", "eventId": str(i), "ts": 10 - i}), 20 + i) for i in range(3)])
+    events = parse.parse_behavior(raw)
+    assert sessions.sessionize(events).count() == sessions.session_windows(events).count() == 0
+    row = one(monitor.lateness_profile(events))
+    assert (row["n"], row["out_of_order"]) == (3, 0)
+
+
 def test_split_rejects(records):
     raw = records(
         ('{"userId":"U1","behavior":"buy","ts":1,"priceCNY":"x"}', 1),
