@@ -108,7 +108,8 @@ def measured(documents: DataFrame, text: str = "text") -> DataFrame:
         F.char_length(F.regexp_replace("__letters", r"[^\p{Lu}]+", "")).cast("bigint").alias("n_capitals"),
     )
     helpers = ("__text", "__words", "__lines", "__joined", "__hashes", "__letters")
-    return ready.withColumn("measures", measures).drop(*helpers)
+    # out of a one-element array, so that a filter on the verdict stays above and measures nothing again
+    return ready.withColumn("measures", F.explode(F.array(measures))).drop(*helpers)
 
 
 def _ratios(m: Column) -> dict[str, Column]:
