@@ -25,12 +25,21 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/llm/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def _stored(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: lineage is cut, a lost executor costs nothing."""
-    spark = df.sparkSession
-    path = shared_folder(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _stored(df, purpose)[0]
+
+
+def _discard(spark: SparkSession, path: str) -> None:
+    """Deletes an intermediate table that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def _min_neighbour(links: DataFrame) -> DataFrame:
@@ -43,11 +52,12 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     Alternates two steps until every id hangs directly below its smallest: an id's larger
     neighbours move to its smallest neighbour, then its smaller ones do. Each step is a grouped
     minimum, combined before the shuffle, and a join that can be split where one id has very many
-    links. Rows never grow over twice the links. Null ends and self links are ignored; an empty
-    table gives an empty result.
+    links. Rows never grow over twice the links. A step's table goes once the next is written. Null
+    ends and self links are ignored; an empty table gives an empty result.
     """
     down = links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-    state, before = written(down.distinct(), "links"), None
+    spark, before = links.sparkSession, None
+    state, at = _stored(down.distinct(), "links")
     while True:
         mark = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == before or not mark[0]:
@@ -58,7 +68,10 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = _min_neighbour(both).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = written(large, "links")
+        large, between = _stored(large, "links")
         least = _min_neighbour(large)
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        state = written(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "links")
+        old = at
+        state, at = _stored(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "links")
+        for path in (old, between):
+            _discard(spark, path)
