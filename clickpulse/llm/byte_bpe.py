@@ -193,7 +193,7 @@ class EditableText:
 @lru_cache(maxsize=2)  # a Python worker's tasks share the vocabulary and what has been learnt
 def piece_encoder(ranks_path: str, pattern: str) -> PieceEncoder:
     matches = TextEncoder(Vocabulary.load(ranks_path), pattern)
-    return PieceEncoder(lambda pieces: (array("I", matches.encode(p)).tobytes() for p in pieces))
+    return PieceEncoder(lambda pieces: {p: array("I", matches.encode(p)).tobytes() for p in pieces})
 
 
 @lru_cache(maxsize=2)

@@ -11,8 +11,8 @@ from itertools import chain, islice
 
 import numpy as np
 
-#: Gives each piece's ids as little-endian unsigned 32-bit integers.
-Encode = Callable[[list[str]], Iterable[bytes]]
+#: Each piece's ids as little-endian unsigned 32-bit integers.
+Encode = Callable[[list[str]], dict[str, bytes]]
 
 _PIECE = re.compile(r"\s*\S+|\s+")
 #: White space to Python but not to the tokenizers: a text that holds one is a piece of its own.
@@ -36,21 +36,17 @@ class PieceEncoder:
     def __init__(self, encode: Encode) -> None:
         self._encode, self._known = encode, {}
 
-    def _learn(self, pieces: set[str]) -> None:
-        missing = [p for p in pieces if p not in self._known]
-        if len(self._known) + len(missing) > REMEMBERED:
-            self._known.clear()
-            missing = list(pieces)
-        self._known.update(zip(missing, self._encode(missing)))
-
     def _joined(self, cut: list[list[str]]) -> list[bytes]:
-        pieces = {p for part in cut for p in part}
-        self._learn(pieces)
-        out = [b"".join(map(self._known.__getitem__, part)) for part in cut]
-        for piece in pieces:
-            if len(piece) > LONGEST:
-                del self._known[piece]
-        return out
+        found = [list(map(self._known.get, part)) for part in cut]
+        gaps = [(k, i) for k, row in enumerate(found) if None in row for i, ids in enumerate(row) if ids is None]
+        if gaps:
+            fresh = self._encode(list(dict.fromkeys(cut[k][i] for k, i in gaps)))
+            for k, i in gaps:
+                found[k][i] = fresh[cut[k][i]]
+            if len(self._known) + len(fresh) > REMEMBERED:
+                self._known.clear()
+            self._known.update((piece, ids) for piece, ids in fresh.items() if len(piece) <= LONGEST)
+        return [b"".join(row) for row in found]
 
     def _long(self, text: str) -> bytes:
         pieces = (m[0] for m in _PIECE.finditer(text))
@@ -95,15 +91,15 @@ def library_encoder(path: str) -> PieceEncoder:
         data = ids.tobytes()
         return (data[a:z] for a, z in zip(cuts, cuts[1:]))
 
-    def encode(pieces: list[str]) -> Iterator[bytes]:
-        inner = [p for p in pieces if p[0].isspace() and not p[-1].isspace() and not _ODD.search(p)]
+    def encode(pieces: list[str]) -> dict[str, bytes]:
+        inner = [p for p in pieces if p[0] in " \n\t\r" and not p[-1].isspace()]
         together = chain.from_iterable(joined(inner[at : at + TOGETHER]) for at in range(0, len(inner), TOGETHER))
-        known = dict(zip(inner, together))
+        found = dict(zip(inner, together))
         for piece in pieces:
-            found = known.get(piece)
-            if found is None:
-                found = array("I", model.encode_batch_fast([piece], add_special_tokens=False)[0].ids).tobytes()
-            yield found
+            if piece not in found:
+                ids = model.encode_batch_fast([piece], add_special_tokens=False)[0].ids
+                found[piece] = array("I", ids).tobytes()
+        return found
 
     return PieceEncoder(encode)
 
