@@ -144,11 +144,21 @@ def near_duplicates(
     return marks.join(named, "fingerprint").select(id_col, "fingerprint", "component_id")
 
 
-def keep_one(documents: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents whose id is the smallest of their group; rows with a null id or repeated ids stay."""
-    groups = near_duplicates(documents, id_col, text, **options)
-    dropped = groups.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return documents.join(dropped, id_col, "left_anti").select(documents.columns)
+def keep_one(
+    documents: DataFrame, id_col: str = "doc_id", text: str = "text", repeats: bool = True, **options
+) -> DataFrame:
+    """The documents that come first in their group; each row is judged by its own text.
+
+    Rows go by id, nulls last. With ``repeats`` all rows that carry their group's smallest id stay, and
+    so do rows with a null id; without, exactly one row of each group does, whatever the ids are. The
+    documents are written once with a number for each row, which tells rows with equal ids apart.
+    """
+    rows = written(documents.withColumn("__row", F.monotonically_increasing_id()), "numbered-documents")
+    key = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("__row").alias("row"))
+    groups = near_duplicates(rows.select(key.alias("__key"), text), "__key", text, **options)
+    lost = F.col("__key.id") != F.col("component_id.id") if repeats else F.col("__key") != F.col("component_id")
+    dropped = groups.where(lost).select(F.col("__key.row").alias("__row"))
+    return rows.join(dropped, "__row", "left_anti").select(documents.columns)
 
 
 def hex_digits(mark: Column) -> Column:

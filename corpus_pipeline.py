@@ -28,8 +28,8 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id."""
-    return simhash.keep_one(docs, shingle=3, distance=3)
+    """Of each group of near-duplicates the one row with the smallest id; null ids come last."""
+    return simhash.keep_one(docs, repeats=False, shingle=3, distance=3)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -83,3 +83,11 @@ def test_edge_rows_pass_every_stage(spark):
         docs = spark.createDataFrame(rows, schema)
         assert stage(spark, docs, GIVEN).count() >= 0
         assert stage(spark, docs.limit(0), GIVEN).count() == 0
+
+
+def test_the_dedup_stage_keeps_one_row_of_each_group(spark):
+    schema = spark.read.parquet(f"{GIVEN}/documents.parquet").schema
+    texts = [(3, "a b c d"), (5, "a b c d"), (5, "q r s t"), (7, "k l m n"), (7, "k l m n"), (None, "k l m n"), (None, "v w"), (None, "v w")]
+    docs = spark.createDataFrame([(i, t, None, None, len(t)) for i, t in texts], schema)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, GIVEN)
+    assert sorted((r[0] or 99, r[1]) for r in kept.collect()) == [(3, "a b c d"), (5, "q r s t"), (7, "k l m n"), (99, "v w")]

@@ -115,6 +115,19 @@ def test_keep_one_with_nulls_repeats_and_clashing_columns(spark):
     assert simhash.keep_one(df.limit(0)).count() == 0
 
 
+def test_keep_one_judges_each_row_by_its_own_text(spark):
+    x, y, z = "a b c d e", "q r s t u", "k l m n o"
+    rows = [(3, x), (5, x), (5, y), (7, y), (9, z), (9, z), (None, z), (None, "v w"), (None, "v w"), (8, ""), (8, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = [tuple(r) for r in simhash.keep_one(df).collect()]
+    assert {(3, x), (5, y)} <= set(kept) and (5, x) not in kept and (7, y) not in kept
+    one = simhash.keep_one(df, repeats=False)
+    assert one.columns == df.columns
+    got = sorted((r[0] or 99, r[1] or "") for r in one.collect())
+    assert got == [(3, x), (5, y), (8, ""), (9, z), (99, "v w")]
+    assert simhash.keep_one(df.limit(0), repeats=False).count() == 0
+
+
 def test_forest_keeps_groups_together():
     a, b = np.array([4, 3, 1, 6]), np.array([3, 2, 0, 5])
     child, root = blocks.forest(a, b, 8)
