@@ -57,11 +57,31 @@ def rule_of(host: Column, path: Column, rules: Sequence[UrlRule]) -> Column:
     return F.coalesce(*found) if found else F.lit(None).cast("struct<verdict:string,name:string>")
 
 
+def _without_dots(path: Column) -> Column:
+    """``path``, empty or from its ``/``, with ``.`` and ``..`` segments resolved; a last one leaves its ``/``."""
+    segments = F.slice(F.split(path, "/"), 2, F.length(path) + 1)
+    none = F.array().cast("array<string>")
+
+    def step(done: Column, segment: Column) -> Column:
+        above = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(segment == ".", done).when(segment == "..", above).otherwise(F.array_append(done, segment))
+
+    end = F.when(path.rlike(r"/\.\.?\z"), F.array(F.lit(""))).otherwise(none)
+    whole = F.concat(F.lit("/"), F.array_join(F.concat(F.reduce(segments, none, step), end), "/"))
+    return F.when(path.rlike(r"/\.\.?(/|\z)"), whole).otherwise(path)
+
+
 def address(url: Column) -> Column:
-    """What names a page: lower-case scheme and host, the whole path and query, no fragment. Null without ``://``."""
+    """What names a page: lower-case scheme and host, the path without dot segments, the query, no fragment.
+
+    An empty path is ``/``. Null without ``://``.
+    """
     scheme = F.translate(F.regexp_extract(url, r"^((?s:.*?))://", 1), UPPER, LOWER)
-    rest = F.regexp_extract(url, r"^(?s:.*?)://[^/?#]*([^#]*)", 1)
-    whole = F.concat(scheme, F.lit("://"), host_of(url), F.when(rest == "", F.lit("/")).otherwise(rest))
+    query = F.regexp_extract(url, r"^(?s:.*?)://[^?#]*(\?[^#]*)", 1)
+    path = path_of(url)
+    whole = F.concat(
+        scheme, F.lit("://"), host_of(url), F.when(path == "", F.lit("/")).otherwise(_without_dots(path)), query
+    )
     return F.when(url.contains("://"), whole)
 
 
@@ -71,6 +91,7 @@ def _attribute(tag: Column, name: str) -> Column:
 
 
 def _resolved(target: Column, url: Column) -> Column:
+    """``target`` as seen from ``url``, dot segments left in. Null for a fragment only, or another kind of scheme."""
     scheme, host = F.regexp_extract(url, r"^((?s:.*?))://", 1), host_of(url)
     root = F.concat(scheme, F.lit("://"), host)
     folder = F.concat(root, F.coalesce(F.nullif(F.regexp_extract(path_of(url), r"^(.*/)", 1), F.lit("")), F.lit("/")))
@@ -80,7 +101,8 @@ def _resolved(target: Column, url: Column) -> Column:
         .when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), target)
         .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
         .when(target.startswith("/"), F.concat(root, target))
-        .when(target.rlike("^[?#]") | target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+        .when(target.startswith("?"), F.concat(root, path_of(url), target))
+        .when(target.startswith("#") | target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
         .otherwise(F.concat(folder, target))
     )
 

@@ -55,6 +55,42 @@ def test_rules_aliases_and_precedence(spark):
     assert got[2] == got[4] == got[11] == got[12] == got[13] == block
 
 
+def test_relative_targets_reach_a_block(spark):
+    blocked = link("http://shop.example.com/en/2")
+    pages = [
+        (1, "http://q.example.org/dir/x", refresh("?lang=en")),
+        (2, "http://q.example.org/dir/x?lang=en", blocked),
+        (3, "http://d.example.org/a/b/c", link("../x")),
+        (4, "http://d.example.org/a/x", blocked),
+        (5, "http://d.example.org/a/b", refresh("./x?u=/../z")),
+        (6, "http://d.example.org/a/x?u=/../z", blocked),
+        (7, "http://s.example.org/a/./b/../x", blocked),  # dots in the source
+        (8, "http://s.example.org/p", link("/a/x")),
+        (9, "http://r.example.org", refresh("?q=1")),
+        (10, "http://r.example.org/?q=1", blocked),
+        (11, "http://u.example.org/a/b/c", link("../..")),
+        (12, "http://u.example.org", blocked),
+        (13, "http://f.example.org/x", link("#part")),
+        (14, "http://f.example.org/y", link("mailto:a@b")),
+    ]
+    got = {r[0]: r[2] for r in judged(spark, pages)}
+    assert {i for i, verdict in got.items() if verdict == "block"} == set(range(1, 13))
+
+
+def test_addresses(spark):
+    forms = {
+        "http://h/a/../../../b": "http://h/b",
+        "HTTP://H/a//../b/.": "http://h/a/b/",
+        "http://h/a/..": "http://h/",
+        "http://h/..a/.b/c..#x": "http://h/..a/.b/c..",
+        "http://h/a?x/../y": "http://h/a?x/../y",
+        "http://h?x": "http://h/?x",
+        "http://h#/../x": "http://h/",
+    }
+    df = spark.createDataFrame([(u,) for u in [*forms, "h/../x", None]], "url string")
+    assert [r[0] for r in df.select(uf.address(df.url)).collect()] == [*forms.values(), None, None]
+
+
 def test_redirect_pairs_and_default(spark):
     moves = spark.createDataFrame(
         [("http://e.example.org/x", "http://shop.example.com/en/2"), (None, "x"), ("http://e.example.org/x", "y")],
