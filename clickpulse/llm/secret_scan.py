@@ -39,13 +39,17 @@ class CharacterClass(NamedTuple):
 CLASSES = (
     CharacterClass("hex", r"^[0-9A-Fa-f]+$", r"[0-9].*[A-Fa-f]|[A-Fa-f].*[0-9]", 20, 2.9),
     CharacterClass("base64", r"^[A-Za-z0-9+/_=-]+$", r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])", 20, 3.6),
+    CharacterClass("lower", r"^[a-z0-9]+$", r"^(?=.*[0-9].*[0-9])(?=.*[a-z].*[a-z])", 20, 3.5),
 )
-#: Candidates that hold a match of one of these are no secrets; they never remove a pattern's span.
+_WORD, _UUID = r"example|sample|placeholder|your[_-]?key", r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}"
+#: Where a stand-in for a secret starts, or a part of a UUID, which is longer than a window.
+_STARTS = rf"(?i:{_WORD}|{_UUID}|(?:-[0-9a-f]{{4}}){{2}}-|-[0-9a-f]{{4}}-[0-9a-f]{{12}})|(.)\1{{7}}"
+_ENDS = "".join(f"(?<!(?i:{x}))" for x in ("example", "sample", "placeholder", "yourkey", "your_key", "your-key", _UUID))
+#: Candidates that match one of these are no secrets: without letters, or with stand-ins that leave no
+#: window's length of other characters in a row. They never remove a pattern's span.
 ALLOWED = (
-    r"(?i)example|sample|placeholder|your[_-]?key",
     r"^[0-9/_=+-]+$",
-    r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",
-    r"(.)\1{7}",
+    rf"^(?!.*?(?:(?!{_STARTS}).{_ENDS}){{20}})",
 )
 
 SPAN = "array<struct<start:bigint,kind_no:int,end:bigint>>"

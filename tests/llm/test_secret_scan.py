@@ -67,6 +67,23 @@ def test_fixed_texts_match_a_plain_scan(spark):
     assert got == {i: plain(t) for i, t in enumerate(TEXTS)}
 
 
+def test_a_stand_in_beside_a_secret_hides_nothing_else(spark):
+    key, uuid = "aB3dE5fG7hI9jK1lM3nO5pQ7", "3f2b8c1e-9a47-4c1d-8e2f-6b5a4d3c2e1f"
+    shown = [f"/sample/files/{key}", f"{uuid}/{key}", f"{key}/{uuid}", f"{key}AAAAAAAA{key}", f"x {key}=your_key"]
+    shown += ["k7x2m9qp4wz8rt5vy3nb6jc1", "see q8w3e9r2t7y4u1i6o5p0a3s8 here"]  # small letters and digits
+    hidden = [uuid, f"{uuid}/{uuid.upper()}", f"{uuid}-example", "aB3dE5fG7hI_EXAMPLE_jK1lM3nO5pQ7", "your-key/A1b2C3d4/sample"]
+    hidden += ["A1b2C3d4E5f6AAAAAAAAAAAAG7h8J9k0", "internationalization2024", "some-long-name-of-release-20241231"]
+    got = scanned(spark, shown + hidden)
+    for i, text in enumerate(shown):
+        spans = [(a, z) for a, k, z in got[i] if k == 3]
+        secret = next(x for x in (key, *(t for t in text.split() if len(t) > 20)) if x in text)
+        at = text.index(secret)
+        assert any(a <= at and at + len(secret) <= z for a, z in spans), text
+    assert all(not got[len(shown) + i] for i in range(len(hidden)))
+    df = spark.createDataFrame([(t,) for t in shown], "text string")
+    assert not any(key in r[0] for r in ss.redact(df).collect())
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(alphabet="ab0fAK9=: \"'_é\n", max_size=80), min_size=20, max_size=40))
 def test_random_texts_match_a_plain_scan(spark, parts):
