@@ -74,7 +74,8 @@ def write(
 
     rows = documents.select(F.col(id_col).cast("bigint"), F.col(text))
     order = (F.col(id_col), F.xxhash64(text), F.col(text))
-    ranged = rows.repartitionByRange(shuffle_parts(documents), F.col(id_col)).sortWithinPartitions(*order)
+    # equal ids may fill several parts; texts stay out of the bounds, which the driver holds
+    ranged = rows.repartitionByRange(shuffle_parts(documents), *order[:2]).sortWithinPartitions(*order)
     parts = ranged.mapInArrow(run, "part bigint, docs bigint, tokens bigint").collect()  # one row per part
     parts = sorted(parts, key=lambda p: p["part"])
     bases = accumulate((p["tokens"] for p in parts), initial=0)

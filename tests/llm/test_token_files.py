@@ -86,3 +86,16 @@ def test_wide_files_nulls_repeats_and_empty_tables(spark, model):
     folder = shared_folder(spark, "test")
     token_files.write(df.limit(0), folder, PATH, 2)
     assert token_files.read(spark, folder).count() == 0
+
+
+def test_equal_and_null_ids_fill_several_parts_in_the_same_order(spark):
+    rows = [(doc, f"text {i} {doc}") for doc in (None, 7) for i in range(400)] + [(9, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    folder = shared_folder(spark, "test")
+    manifest = token_files.write(df, folder, PATH, 2)
+    assert sum(p["docs"] for p in manifest) == 801 and max(p["docs"] for p in manifest) < 300
+    ordered = df.selectExpr("doc_id", "text", "xxhash64(text) AS h").orderBy("doc_id", "h", "text").collect()
+    got = token_files.read(spark, folder).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == [r["doc_id"] for r in ordered]
+    want = [np.frombuffer(b, "<u4").tolist() + [2] for b in ENCODER.encode([r["text"] for r in ordered])]
+    assert [np.frombuffer(r["tokens"], "<u4").tolist() for r in got] == want
