@@ -179,7 +179,8 @@ def pack(
     Each document's ids, ``end_id`` last, lie in exactly one piece each; a null text is the end id alone.
     Every partition of ``documents`` packs on its own, without a shuffle, so at most one sequence per
     partition is not full. A sequence's ``tier`` is its length where it is full. Numbers of sequences
-    and steps are unique over all partitions. Repeated rows are packed as often as they occur.
+    and steps are unique over all partitions. Repeated rows are packed as often as they occur. An id that
+    is no long counts as null. A special token's string in a text becomes that token.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,4 +193,4 @@ def pack(
                     yield from _rows(packer.feed(doc, ids + end), part, counters)
         yield from _rows(packer.finish(), part, counters)
 
-    return documents.select(F.col(id_col).cast("bigint"), F.col(text)).mapInArrow(run, SCHEMA)
+    return documents.select(F.col(id_col).try_cast("bigint").alias(id_col), F.col(text)).mapInArrow(run, SCHEMA)

@@ -31,7 +31,7 @@ def _write_part(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_i
     context = TaskContext.get()
     part, attempt = context.partitionId(), context.taskAttemptId()
     fs, root = pafs.FileSystem.from_uri(folder)
-    encoder, end = library_encoder(path), np.array([end_id], width).tobytes()
+    encoder, end = library_encoder(path), end_id.to_bytes(4, "little")
     names = {kind: f"{root}/.part-{part:05d}-{attempt}.{kind}" for kind in ("bin", "idx", "doc")}
     docs, at = 0, 0
     with fs.open_output_stream(names["bin"]) as out, fs.open_output_stream(names["idx"]) as idx, fs.open_output_stream(names["doc"]) as doc:
@@ -39,10 +39,9 @@ def _write_part(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_i
         for batch in batches:
             for first in range(0, batch.num_rows, DOCS):
                 rows = batch.slice(first, DOCS)
-                sizes = []
-                for ids in encoder.encode(rows.column(1).to_pylist()):
-                    out.write(np.frombuffer(ids, "<u4").astype(width).tobytes() + end)
-                    sizes.append(len(ids) // 4 + 1)
+                found = [ids + end for ids in encoder.encode(rows.column(1).to_pylist())]
+                out.write(np.frombuffer(b"".join(found), "<u4").astype(width).tobytes())
+                sizes = [len(ids) // 4 for ids in found]
                 ends = at + np.cumsum(sizes)
                 idx.write(ends.astype("<i8").tobytes())
                 doc.write(np.array([NULL_ID if i is None else i for i in rows.column(0).to_pylist()], "<i8").tobytes())
@@ -64,15 +63,16 @@ def write(
     """Writes all documents in ascending order of id (nulls first, equal ids by text) and returns the manifest.
 
     ``folder`` is new and shared by all executors. ``width`` is ``<u2`` for vocabularies below 65,536,
-    else ``<u4``. A null text is an empty document, which holds the end id alone. The manifest has an
-    entry per part, whatever the number of documents.
+    else ``<u4``. A null text is an empty document, which holds the end id alone. An id that is no long
+    counts as null. A special token's string in a text becomes that token. The manifest has an entry
+    per part, whatever the number of documents.
     """
     pafs.FileSystem.from_uri(folder)[0].create_dir(pafs.FileSystem.from_uri(folder)[1], recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _write_part(batches, folder, tokenizer, end_id, width)
 
-    rows = documents.select(F.col(id_col).cast("bigint"), F.col(text))
+    rows = documents.select(F.col(id_col).try_cast("bigint").alias(id_col), F.col(text))
     order = (F.col(id_col), F.xxhash64(text), F.col(text))
     # equal ids may fill several parts; texts stay out of the bounds, which the driver holds
     ranged = rows.repartitionByRange(shuffle_parts(documents), *order[:2]).sortWithinPartitions(*order)

@@ -72,12 +72,11 @@ class PieceEncoder:
 
 @lru_cache(maxsize=2)  # a Python worker's tasks share what has been learnt
 def library_encoder(path: str) -> PieceEncoder:
-    """Encodes with the ``tokenizers`` library; special tokens' strings in a text are ordinary text."""
+    """Encodes with the ``tokenizers`` library; a special token's string in a text is that token."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(path)
-    model.encode_special_tokens = True
     # the vocabulary writes each byte as one character
     widths = np.zeros(model.get_vocab_size(), np.int64)
     for token, number in model.get_vocab().items():

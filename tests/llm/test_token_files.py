@@ -18,15 +18,18 @@ PATH = tokens.vocabulary("byte_bpe_50k.json")
 ENCODER = tokens.library_encoder(PATH)
 TEXTS = [
     "a  b", None, "", " ", "\n\n x\t\ty  ", "don't <|endoftext|> é🔥  z", "word" * 500, "x \x1c y\x1f  z", "e  f 12 345",
-    "the of and " * 400, "İ ᠎ a", "tail   ",
+    "the of and " * 400, "İ ᠎ a", "tail   ", "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>", "a<|endoftext|>b",
+    " <|endoftext|> ", "x \n<|endoftext|>\n y", "one two\nthree\nfour <|endoftext|>\n<|endoftext|> five", "a b\u3000c d\x85e",
 ]
 
 
 @pytest.fixture(scope="module")
 def model():
-    made = Tokenizer.from_file(PATH)
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(PATH)
+
+
+def test_a_special_token_in_a_text_is_that_token(model):
+    assert ids_of(model, "a <|endoftext|> b") == [64, 220, 50256, 275]
 
 
 def ids_of(model, text):
@@ -44,8 +47,11 @@ def test_pieces_give_the_ids_of_whole_texts(model, monkeypatch):
             assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(TEXTS)] == want
 
 
+WORDS = st.lists(st.sampled_from(["a", "é", "don't", "12", ",", "<|endoftext|>", " ", "  ", "\n", "\t", "\x1c", "\u3000"]), max_size=12)
+
+
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.text(max_size=30), max_size=5))
+@given(st.lists(st.text(max_size=30) | WORDS.map("".join) | WORDS.map(" ".join), max_size=5))
 def test_any_text_gives_the_ids_of_the_library(model, texts):
     got = [np.frombuffer(b, "<u4").tolist() for b in ENCODER.encode(texts)]
     assert got == [ids_of(model, t) for t in texts]
@@ -88,6 +94,17 @@ def test_wide_files_nulls_repeats_and_empty_tables(spark, model):
     assert token_files.read(spark, folder).count() == 0
 
 
+def test_very_long_texts_and_ids_that_are_no_numbers(spark, model):
+    pairs = [("x", "aé b\n" * 30_000), ("7", "word" * 20_000 + " tail"), (None, "c")]
+    df = spark.createDataFrame(pairs, "doc_id string, text string")
+    folder = shared_folder(spark, "test")
+    token_files.write(df, folder, PATH, 2)
+    rows = token_files.read(spark, folder).orderBy("start").collect()
+    assert [r["doc_id"] for r in rows] == [None, None, 7]
+    got = sorted(np.frombuffer(r["tokens"], "<u4").tolist() for r in rows)
+    assert got == sorted(ids_of(model, t) + [2] for _, t in pairs)
+
+
 def test_equal_and_null_ids_fill_several_parts_in_the_same_order(spark):
     rows = [(doc, f"text {i} {doc}") for doc in (None, 7) for i in range(400)] + [(9, "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
