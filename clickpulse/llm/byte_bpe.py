@@ -10,19 +10,27 @@ encoding from the end backwards, in time linear in the bytes; new bytes only add
 from __future__ import annotations
 
 import base64
-from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.tokens import PieceEncoder
+from clickpulse.llm.tokens import PieceEncoder, piece_of
 
-#: Answers about pairs of tokens, and encoded matches, that are remembered; both bound memory only.
-PAIRS, MATCHES = 500_000, 200_000
-DOCS = 256
+#: Answers about pairs of tokens that are remembered; this bounds memory only.
+PAIRS = 500_000
+#: Documents encoded, and decoded, at a time.
+DOCS, DECODED = 2048, 256
+
+
+def read_ranks(path: str) -> dict[bytes, int]:
+    """From a file with a base64 byte string and its rank on each line."""
+    with open(path, "rb") as lines:
+        return {base64.b64decode(t): int(r) for t, r in (line.split() for line in lines if line.strip())}
 
 
 class Vocabulary:
@@ -32,16 +40,20 @@ class Vocabulary:
         self.ranks, self.bytes = ranks, {r: t for t, r in ranks.items()}
         self.longest = max(map(len, ranks))
         self._parts: dict[int, tuple[int, int] | None | bool] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
-        #: Every prefix of a token: the token that it is, or -1 where it is none or its bytes encode otherwise.
-        self.prefixes = {t[:n]: -1 for t in ranks for n in range(1, len(t))}
-        self.prefixes.update((t, -1 if self.parts(r) is False else r) for t, r in ranks.items())
+        #: For each last token the tokens asked about, and how many answers there are.
+        self.after: dict[int, dict[int, bool]] = {}
+        self._answers = 0
+        #: A trie: by byte, the token that its bytes are, or -1, and what goes on below it.
+        self.trie: dict[int, tuple[int, dict]] = {}
+        for token, rank in ranks.items():
+            level = self.trie
+            for byte in token[:-1]:
+                level = level.setdefault(byte, (-1, {}))[1]
+            level[token[-1]] = (rank, level[token[-1]][1] if token[-1] in level else {})
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
-        """From a file with a base64 byte string and its rank on each line."""
-        with open(path, "rb") as lines:
-            return cls({base64.b64decode(t): int(r) for t, r in (line.split() for line in lines if line.strip())})
+        return cls(read_ranks(path))
 
     def parts(self, token: int) -> tuple[int, int] | None | bool:
         """The two tokens whose merge makes this one; None for a byte; False if its bytes encode otherwise."""
@@ -60,12 +72,16 @@ class Vocabulary:
         return self._parts[token]
 
     def may_follow(self, left: int, right: int) -> bool:
-        """Whether the encoding of both tokens' bytes is these two tokens."""
-        known = self._pairs.get((left, right))
+        """Whether the encoding of both tokens' bytes is these two tokens; ``left`` is -1 at the start."""
+        if self._answers >= PAIRS:
+            self._answers = 0
+            for row in self.after.values():  # rows may be in use
+                row.clear()
+        row = self.after.setdefault(left, {})
+        known = row.get(right)
         if known is None:
-            if len(self._pairs) >= PAIRS:
-                self._pairs.clear()
-            known = self._pairs[left, right] = self._holds(left, right)
+            self._answers += 1
+            known = row[right] = self.parts(right) is not False and (left < 0 or self._holds(left, right))
         return known
 
     def _holds(self, a: int, b: int) -> bool:
@@ -94,20 +110,21 @@ class PrefixTable:
         """Adds bytes at the end. What the table holds stays as it is."""
         v, old = self.vocabulary, len(self.data)
         self.data += more
-        data, last = self.data, self.last
+        data, last, size = self.data, self.last, len(self.data)
         last.extend([-1] * len(more))
-        prefixes, pairs = v.prefixes, v._pairs
-        for start in range(max(0, old - v.longest + 1), len(data)):
-            before = last[start]
-            for end in range(start + 1, min(start + v.longest, len(data)) + 1):
-                token = prefixes.get(data[start:end])
-                if token is None:
+        for start in range(max(0, old - v.longest + 1), size):
+            before, level = last[start], v.trie
+            known = v.after.setdefault(before, {})
+            for end in range(start, size):
+                hit = level.get(data[end])
+                if hit is None:
                     break
-                if token < 0 or end <= old or last[end] >= 0:
+                token, level = hit
+                if token < 0 or last[end + 1] >= 0 or end < old:
                     continue
-                fits = pairs.get((before, token)) if start else True
+                fits = known.get(token)
                 if fits or fits is None and v.may_follow(before, token):
-                    last[end] = token
+                    last[end + 1] = token
 
     def truncate(self, size: int) -> None:
         self.data = self.data[:size]
@@ -128,24 +145,17 @@ class PrefixTable:
 
 
 class TextEncoder:
-    """Encodes each match of ``pattern`` separately. Matches that come again are not encoded again."""
+    """Encodes each match of ``pattern`` separately."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str) -> None:
         import regex
 
-        self.vocabulary, self.match, self._known = vocabulary, regex.compile(pattern), {}
+        self.vocabulary, self.match = vocabulary, regex.compile(pattern)
 
     def _ids(self, match: str) -> list[int]:
-        ids = self._known.get(match)
-        if ids is None:
-            data = match.encode()
-            whole = self.vocabulary.ranks.get(data)
-            ids = [whole] if whole is not None else PrefixTable(self.vocabulary, data).tokens()
-            if len(match) <= 32:
-                if len(self._known) >= MATCHES:
-                    self._known.clear()
-                self._known[match] = ids
-        return ids
+        data = match.encode()
+        whole = self.vocabulary.ranks.get(data)
+        return [whole] if whole is not None else PrefixTable(self.vocabulary, data).tokens()
 
     def encode(self, text: str) -> list[int]:
         return [i for m in self.match.finditer(text) for i in self._ids(m[0])]
@@ -193,12 +203,18 @@ class EditableText:
 @lru_cache(maxsize=2)  # a Python worker's tasks share the vocabulary and what has been learnt
 def piece_encoder(ranks_path: str, pattern: str) -> PieceEncoder:
     matches = TextEncoder(Vocabulary.load(ranks_path), pattern)
-    return PieceEncoder(lambda pieces: {p: array("I", matches.encode(p)).tobytes() for p in pieces})
+
+    def encode_keys(keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = [matches.encode(piece_of(k)) for k in keys.to_pylist()]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), "<u4", sizes.sum()), sizes
+
+    return PieceEncoder(encode_keys)
 
 
 @lru_cache(maxsize=2)
 def _byte_table(ranks_path: str) -> dict[int, bytes]:
-    return Vocabulary.load(ranks_path).bytes
+    return {rank: token for token, rank in read_ranks(ranks_path).items()}
 
 
 def encode(
@@ -234,8 +250,8 @@ def decode(rows: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decod
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _byte_table(ranks_path)
         for batch in batches:
-            for first in range(0, batch.num_rows, DOCS):
-                part = batch.slice(first, DOCS)
+            for first in range(0, batch.num_rows, DECODED):
+                part = batch.slice(first, DECODED)
                 lists = part.column(part.schema.get_field_index(ids)).to_pylist()
                 data = [None if x is None else b"".join(map(table.__getitem__, x)) for x in lists]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(data, pa.binary())], names=[*part.schema.names, out])

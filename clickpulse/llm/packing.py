@@ -25,7 +25,7 @@ TIERS = (256, 512, 1024, 2048)
 STEP_TOKENS = 16_384
 #: Waiting tokens at which a task packs. It bounds memory; what doesn't fill a window waits on.
 ROUND_TOKENS = 1 << 20
-DOCS = 256
+DOCS = 2048
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, tokens binary, doc_tokens bigint, "
     "sequence_id bigint, offset bigint, tier int, step_id bigint"

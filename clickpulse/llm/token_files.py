@@ -24,7 +24,7 @@ from clickpulse.llm.tokens import library_encoder
 
 NULL_ID = -(1 << 63)
 #: Documents encoded, and tokens read, at a time.
-DOCS, TOKENS = 512, 1 << 20
+DOCS, TOKENS = 2048, 1 << 20
 
 
 def _write_part(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: int, width: str) -> pa.RecordBatch:
