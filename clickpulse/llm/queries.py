@@ -8,16 +8,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpulse.llm import (
+    alignment,
     byte_bpe,
     embedding_dedup,
     packing,
     quality_classifier,
     quality_rules,
+    recurrent_lm,
     secret_scan,
     simhash,
     token_files,
     toxicity,
     url_filters,
+    whitening,
 )
 from clickpulse.llm.shared import shared_folder
 from clickpulse.llm.tokens import vocabulary
@@ -118,6 +121,20 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", held_out, "score", predicted)
 
 
+def op11_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score(_table(spark, sf_dir, "documents", "doc_id", "text"), _remainder(7) == 2)
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+def op13_cross_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return alignment.cross_alignment(documents, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_token_files": op1_token_files,
@@ -130,4 +147,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_secret_scans": op9_secret_scans,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_recurrent_lm": op11_recurrent_lm,
+        "op12_embedding_whitening": op12_embedding_whitening,
+        "op13_cross_alignment": op13_cross_alignment,
     }
