@@ -20,11 +20,12 @@ def may_contain(value: str, word: str) -> Column:
 def _single(line: Column) -> Column:
     """False where the line holds more than one JSON value.
 
-    A line whose first closing brace is its last character holds no second one; only the
-    others are read again, as the elements of an array.
+    A line that begins with a brace and whose first closing one is its last character holds no second
+    value; only the others are read again, as the elements of an array.
     """
     one = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
-    return F.coalesce((F.locate("}", line) == F.length(F.rtrim(line))) | one, F.lit(False))
+    framed = F.ltrim(line).startswith("{") & (F.locate("}", line) == F.length(F.rtrim(line)))
+    return F.coalesce(framed | one, F.lit(False))
 
 
 def extract_object(

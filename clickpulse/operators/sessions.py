@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from clickpulse.functions.times import bucket, duration_ms
 from clickpulse.schema import SESSION_GAP_MS
 
+#: Keys over which rows without a user are spread.
+NOBODIES = 4096
+
 
 def sessionize(
     events: DataFrame,
@@ -30,18 +33,22 @@ def sessionize(
     purchase comes last.
 
     A row's number is one plus the purchases and the inactivity breaks before it; a break
-    right after a purchase is not counted twice. Rows without a user belong to no session and are
-    left out. Without ``keep`` columns the rows and the summaries come from one shuffle of one scan.
+    right after a purchase is not counted twice. Rows without a user belong to no session: they are kept
+    with a null number, and spread over many keys on their way. Without ``keep`` columns the rows and
+    the summaries come from one shuffle of one scan.
     """
-    rows = events.filter(F.col(user).isNotNull()).select(
-        F.coalesce(user, F.lit("")).alias(user),
+    spread = F.pmod(F.xxhash64(tie, time), F.lit(NOBODIES)).cast("string")
+    rows = events.select(
+        F.col(user).isNull().alias("nobody"),
+        F.coalesce(F.col(user).cast("string"), spread).alias("owner"),
         tie,
         F.coalesce("behavior", F.lit("")).alias("behavior"),
         F.unix_millis(time).alias("event_ms"),
         *keep,
     ).withColumn("chunk", bucket(F.col("event_ms"), min(gap_ms, chunk_ms)))
+    who = ["nobody", "owner"]
     buy = F.col("behavior") == "buy"
-    inside = Window.partitionBy(user, "chunk").orderBy("event_ms", buy, tie)
+    inside = Window.partitionBy(*who, "chunk").orderBy("event_ms", buy, tie)
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
     marked = rows.select(
         *rows.columns,
@@ -50,19 +57,20 @@ def sessionize(
         F.lead("event_ms").over(inside).isNull().alias("chunk_end"),
     )
     summary = marked.filter("chunk_end").select(
-        user, "chunk", "first", F.col("event_ms").alias("last"), buy.alias("ends_in_buy"), "buys"
+        *who, "chunk", "first", F.col("event_ms").alias("last"), buy.alias("ends_in_buy"), "buys"
     )
-    by_chunk = Window.partitionBy(user).orderBy("chunk")
+    by_chunk = Window.partitionBy(*who).orderBy("chunk")
     idle = (F.col("first") - F.lag("last").over(by_chunk) > gap_ms) & ~F.lag("ends_in_buy").over(by_chunk)
     breaks = summary.withColumn("idle", F.coalesce(idle, F.lit(False)).cast("int"))
     through = by_chunk.rowsBetween(Window.unboundedPreceding, 0)
     base = breaks.select(
-        user, "chunk", (F.sum(F.col("idle") + F.col("buys")).over(through) - F.col("buys")).alias("base")
-    )
-    number = F.col("base") + F.col("buys") - buy.cast("int") + 1
-    return marked.join(base, [user, "chunk"]).select(
-        user, tie, "event_ms", "behavior", *keep, number.cast("bigint").alias("session_no")
+        *who, "chunk", (F.sum(F.col("idle") + F.col("buys")).over(through) - F.col("buys")).alias("base")
     )
+    number = F.when(~F.col("nobody"), F.col("base") + F.col("buys") - buy.cast("int") + 1)
+    return marked.join(base, [*who, "chunk"]).select(
+        F.when(~F.col("nobody"), F.col("owner")).alias(user),
+        tie, "event_ms", "behavior", *keep, number.cast("bigint").alias("session_no"),
+    )
 
 
 def session_windows(events: DataFrame, gap: str = "5 minutes", *, user: str = "userId") -> DataFrame:
@@ -108,7 +116,8 @@ def session_windows(events: DataFrame, gap: str = "5 minutes", *, user: str = "u
 
 
 def session_funnel(sessions: DataFrame, *, user: str = "userId") -> DataFrame:
-    """Sessions that reach search, then click, then buy, from rows of :func:`sessionize`.
+    """Sessions that reach search, then click, then buy, from rows of :func:`sessionize`; those in no session
+    are left out.
 
     A purchase ends its session, so it is the last row and at most one. The order can then
     be told from first and last times alone: a click follows the first search if the last
@@ -118,7 +127,7 @@ def session_funnel(sessions: DataFrame, *, user: str = "userId") -> DataFrame:
     def times(step: str):
         return F.when(F.col("behavior") == step, F.col("event_ms"))
 
-    per_session = sessions.groupBy(user, "session_no").agg(
+    per_session = sessions.filter("session_no IS NOT NULL").groupBy(user, "session_no").agg(
         F.min(times("search")).alias("first_search"),
         F.max(times("click")).alias("last_click"),
         F.max(times("buy")).alias("buy"),

@@ -338,11 +338,30 @@ def test_encode_leaves_nulls_out(records):
 def test_rows_without_a_user_are_in_no_session_and_no_order(records):
     raw = records(*[(json.dumps({"behavior": "click", "eventId": str(i), "ts": 10 - i}), 20 + i) for i in range(3)])
     events = parse.parse_behavior(raw)
-    assert sessions.sessionize(events).count() == sessions.session_windows(events).count() == 0
+    numbered = sessions.sessionize(events)
+    assert [(r["userId"], r["session_no"]) for r in numbered.collect()] == [(None, None)] * 3
+    assert sessions.session_windows(events).count() == 0
+    assert one(sessions.session_funnel(numbered))["sessions"] == 0
     row = one(monitor.lateness_profile(events))
     assert (row["n"], row["out_of_order"]) == (3, 0)
 
 
+def test_rows_without_a_user_share_no_chunk_with_a_user_of_that_name(records):
+    named = [json.dumps({"userId": str(n), "behavior": "click", "eventId": f"n{n}", "ts": 5}) for n in range(5000)]
+    nobody = [json.dumps({"behavior": "buy", "eventId": f"x{n}", "ts": 4}) for n in range(300)]
+    rows = sessions.sessionize(parse.parse_behavior(records(*[(v, 9) for v in named + nobody]))).collect()
+    assert sorted(r["eventId"] for r in rows if r["session_no"] is None) == sorted(f"x{n}" for n in range(300))
+    assert {r["session_no"] for r in rows if r["userId"] is not None} == {1}
+
+
+@pytest.mark.parametrize("head", ["null", "1", '"x"', "[]", " null", "\\tnull", "true", "{}", '{"r":1}', "-1.5"])
+def test_members_spliced_behind_another_value_are_malformed(records, head):
+    member = '"r":{"userId":"N","behavior":"buy","ts":1,"priceCNY":1}'
+    raw = records((f"{head},{member}", 1), (f"{head},{member[:-1]}", 1), (f"{head} ,{member} ", 1))
+    assert parse.parse_behavior(raw).count() == 0
+    assert [r["reason"] for r in parse.reject_reason(raw).collect()] == ["malformed"] * 3
+
+
 def test_split_rejects(records):
     raw = records(
         ('{"userId":"U1","behavior":"buy","ts":1,"priceCNY":"x"}', 1),
