@@ -179,6 +179,7 @@ def _streams() -> dict[str, str]:
         "stream_hot_word_counts": _with(_closed(" SELECT word, window_end, n FROM hot"), _hot(*_30S)),
         "stream_online_users": _with(_closed(" SELECT window_end, users FROM online"), online),
         "stream_session_windows": _session_windows_closed(WIDE_GAP_MS),
+        "stream_sessionize": f"{_sessionize(300_000)} WHERE ts < {_BOUND}",
         "olap_table": _with(_OLAP),
         "dwd_table": _with(_ARCHIVE),
     }

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickpulse.operators import enrich, monitor, parse, ranking, sessions, windows
-from clickpulse.schema import GMV_WINDOW, HOT_SLIDE, HOT_TOP_N, HOT_WINDOW, MONITOR_INTERVAL_S, TS_MAX_MS
+from clickpulse.schema import GMV_WINDOW, HOT_SLIDE, HOT_TOP_N, HOT_WINDOW, MONITOR_INTERVAL_S, SESSION_GAP_MS, TS_MAX_MS
 from clickpulse.session import checkpoint_root
 from clickpulse.sources import catalog, tables
-from clickpulse.streaming import sinks
+from clickpulse.streaming import keyed, sinks
 
 LATENESS = "5 seconds"
 ALL = {"availableNow": True}
@@ -66,6 +66,12 @@ def online(raw: DataFrame, size: str = "5 minutes", slide: str = "1 minute") ->
     return windows.online_users(_all_records(raw, ["userId"]), size, slide)
 
 
+def numbered_sessions(raw: DataFrame, gap_ms: int = SESSION_GAP_MS) -> DataFrame:
+    """Each row with its user's session number, a purchase ending its session."""
+    rows = _all_records(raw, ["userId", "eventId", "behavior"]).filter("is_object")
+    return keyed.sessionize_stream(rows, gap_ms)
+
+
 def user_sessions(raw: DataFrame, gap: str = "5 minutes") -> DataFrame:
     return sessions.session_windows(_all_records(raw, ["userId"]), gap)
 
@@ -180,11 +186,35 @@ def hot_search_job(
 # ---- queries over the tables, run as streams to their end ----
 
 
+#: Files that the events of a table are cut into, by arrival; a stream reads one in each micro-batch.
+MICRO_BATCHES = 3
+_cut: dict[tuple[str, str], str] = {}
+
+
+def _in_order(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the events in files by arrival, whose modification times rise. Made once in a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _cut:
+        folder = f"{checkpoint_root(spark)}/arrivals-{uuid.uuid4().hex}"
+        late = F.when(F.col("event_id") % 10 == 0, F.col("event_id") % 5000).otherwise(0)
+        arrival = F.unix_millis(F.col("ts").cast("timestamp")) + late
+        events = tables.load(spark, sf_dir, "events")
+        events.repartitionByRange(MICRO_BATCHES, arrival).write.parquet(folder)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files = sorted((f.getPath() for f in system.listStatus(path)), key=lambda p: p.getName())
+        for number, file in enumerate(f for f in files if f.getName().startswith("part-")):
+            system.setTimes(file, 1_000_000_000_000 + 1000 * number, -1)
+        _cut[key] = folder
+    return _cut[key]
+
+
 def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records in order of arrival, in several micro-batches."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     schema = tables.load(spark, sf_dir, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return tables.records_from(reader.parquet(sf_dir), tables.load(spark, sf_dir, "customer"))
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("pathGlobFilter", "part-*")
+    return tables.records_from(reader.parquet(_in_order(spark, sf_dir)), tables.load(spark, sf_dir, "customer"))
 
 
 def _drain(make: Callable[[DataFrame], DataFrame], wrap=None, shape: Callable[[DataFrame], DataFrame] | None = None):
@@ -229,6 +259,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_currency_to_cny": _drain(_amounts),
         "stream_session_windows": _drain(lambda raw: user_sessions(raw, "12 hours")),
         "stream_online_users": _drain(online),
+        "stream_sessionize": _drain(numbered_sessions),
         "olap_table": olap_table,
         "dwd_table": dwd_table,
     }

@@ -351,3 +351,50 @@ def test_sessions_stream_uses_the_gap(spark, tmp_path):
     raw = batch(spark, rows)
     got = sessions.session_windows(parse.parse_behavior(raw, ["userId"])).count()
     assert got == 2
+
+
+def numbered(rows):
+    return sorted((r["userId"] or "", r["eventId"], r["event_ms"], r["behavior"], r["session_no"]) for r in rows)
+
+
+def test_numbered_sessions_equal_the_batch_over_shuffled_micro_batches(spark, history, tmp_path):
+    """Rows are shuffled inside each file and change places with neighbouring files within the bound."""
+    import random
+
+    rng, rows = random.Random(7), [*history]
+    nobody = json.dumps({"behavior": "click", "eventId": "nobody", "ts": rows[5][2]})
+    rows.insert(6, (None, nobody, rows[5][2]))
+    groups = chunks(rows, 5)
+    for group in groups:
+        rng.shuffle(group)
+    folder = write_files(tmp_path / "in", [*groups, sentinel("click")])
+    out, like = drain(spark, folder, lambda raw: jobs.numbered_sessions(raw, 3_600_000), tmp_path)
+    got = [r for r in sinks.read_files(spark, out, like).collect() if r["userId"] != "Z"]
+    want = sessions.sessionize(parse.parse_behavior(batch(spark, rows)), 3_600_000).collect()
+    assert numbered(got) == numbered(want) and len(got) > 900
+
+
+def test_numbered_sessions_go_on_after_a_restart_and_keep_no_passed_rows(spark, tmp_path):
+    def event(n, ms, behavior="click"):
+        return ("U1", json.dumps({"userId": "U1", "eventId": f"e{n}", "behavior": behavior, "ts": ms}), ms)
+
+    rows = [event(0, 1_000), event(1, 2_000, "buy"), event(2, 2_500), event(3, 400_000), event(4, 400_000, "buy"), event(5, 400_001)]
+    folder = tmp_path / "in"
+    write_files(folder, [rows[:2], rows[2:3]])
+
+    def run():
+        raw = record_sources.file_stream(spark, str(folder), files_per_trigger=1)
+        like = jobs.numbered_sessions(raw)
+        query = jobs.start(like, sinks.file_writer(f"{tmp_path}/out"), f"{tmp_path}/ck", NOW)
+        query.awaitTermination()
+        return like, query.lastProgress
+
+    like, _ = run()
+    assert sinks.read_files(spark, f"{tmp_path}/out", like).count() == 0  # the bound has passed none
+    write_files(folder, [rows[:2], rows[2:3], rows[3:], sentinel("click")])
+    like, progress = run()
+    got = {r["eventId"]: r["session_no"] for r in sinks.read_files(spark, f"{tmp_path}/out", like).collect()}
+    # a purchase at the same time comes last, and ends the session
+    assert got == {"e0": 1, "e1": 1, "e2": 2, "e3": 3, "e4": 3, "e5": 4}
+    # what stays: one row for U1, and the waiting row, its timer and key of the sentinel's user
+    assert sum(o["numRowsTotal"] for o in progress["stateOperators"]) <= 6
