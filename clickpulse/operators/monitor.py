@@ -163,3 +163,53 @@ def lateness_profile(
         *[F.percentile_approx(delay, q).alias(f"delay_p{round(q * 100)}") for q in quantiles],
     )
     return counts.withColumn("out_of_order_share", F.col("out_of_order") / F.col("n"))
+
+
+def _earlier_max(rows: DataFrame, at: str, value: str, width: int, levels: int = 48) -> DataFrame:
+    """``at, earlier``: for each place, a multiple of ``width``, the largest value at smaller places; the first has none.
+
+    Places are the leaves of a binary tree whose nodes hold maxima. What is before a place is one node on each
+    level where the place's number has a one. So ``levels`` rows for each place are grouped, and none is ordered.
+    """
+    level = F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("level")
+    leaves = rows.select(at, value, (F.col(at) / width + 2.0 ** (levels - 1)).cast("bigint").alias("number"), level)
+    nodes = leaves.groupBy("level", F.expr("shiftright(number, level)").alias("node")).agg(F.max(value).alias("earlier"))
+    asked = leaves.filter("shiftright(number, level) % 2 = 1").selectExpr(f"`{at}`", "level", "shiftright(number, level) - 1 AS node")
+    return asked.join(nodes, ["level", "node"]).groupBy(at).agg(F.max("earlier").alias("earlier"))
+
+
+def lateness_profile_global(
+    events: DataFrame, *, bound_ms: int = LATENESS_BOUND_MS, chunk_ms: int = 1000, chunks: int = 4096
+) -> DataFrame:
+    """Per arrival day: delayed rows, largest delay, rows beyond the bound, and rows that arrive after a newer
+    event of anyone. Rows arriving at the same time are in the order of their event ids.
+
+    The running maximum has three levels: the rows of a chunk of arrival time, the chunks of a block, and the
+    blocks, so that nothing is ordered in one task.
+    """
+    rows = events.select(
+        "eventId", F.unix_millis("timestamp").alias("arrival"), F.unix_millis("event_ts").alias("event_ms")
+    ).withColumn("chunk", bucket(F.col("arrival"), chunk_ms))
+    inside = Window.partitionBy("chunk").orderBy("arrival", "eventId")
+    marked = rows.select(
+        *rows.columns,
+        F.max("event_ms").over(inside.rowsBetween(Window.unboundedPreceding, -1)).alias("newest_before"),
+        F.lead("arrival").over(inside).isNull().alias("chunk_end"),
+    )
+    newest = marked.filter("chunk_end").select("chunk", F.greatest("newest_before", "event_ms").alias("newest"))
+    newest = newest.withColumn("block", bucket(F.col("chunk"), chunk_ms * chunks))
+    in_block = Window.partitionBy("block").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = newest.groupBy("block").agg(F.max("newest").alias("newest"))
+    carried = newest.select("chunk", "block", F.max("newest").over(in_block).alias("in_block")).join(
+        _earlier_max(blocks, "block", "newest", chunk_ms * chunks), "block", "left"
+    )
+    marked = marked.join(carried.select("chunk", F.greatest("in_block", "earlier").alias("carry")), "chunk")
+    delay = F.col("arrival") - F.col("event_ms")
+    counts = marked.groupBy(utc_day(F.col("arrival")).alias("day")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(delay > 0).alias("delayed"),
+        F.count_if(F.col("event_ms") < F.greatest("newest_before", "carry")).alias("out_of_order"),
+        F.count_if(delay > bound_ms).alias("beyond_bound"),
+        F.max(F.greatest(delay, F.lit(0))).alias("max_delay_ms"),
+    )
+    return counts.withColumn("out_of_order_share", F.col("out_of_order") / F.col("n"))

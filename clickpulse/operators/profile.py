@@ -91,6 +91,11 @@ def item_cooccurrence(events: DataFrame, k: int = 10, *, chunk_ms: int = 60_000)
         .unionByName(borders)
         .filter(F.col("previous").isNotNull() & (F.col("previous") != F.col("item")))
     )
+    return _best_pairs(pairs, k)
+
+
+def _best_pairs(pairs: DataFrame, k: int) -> DataFrame:
+    """From rows of two items to each item's ``k`` most frequent others."""
     counted = pairs.groupBy(
         F.least("item", "previous").alias("a"), F.greatest("item", "previous").alias("b")
     ).agg(F.count(F.lit(1)).alias("n"))
@@ -103,3 +108,46 @@ def item_cooccurrence(events: DataFrame, k: int = 10, *, chunk_ms: int = 60_000)
     both = counted.select(sides.alias("s"), "n").select("s.item_id", "s.other_id", "n")
     best = top_n(both, ["item_id"], [F.desc("n"), F.asc("other_id")], k)
     return best.select("item_id", "rank", "other_id", "n")
+
+
+def item_pairs(
+    events: DataFrame,
+    reach: int = 3,
+    k: int = 10,
+    *,
+    span_ms: int | None = None,
+    chunk_ms: int = 60_000,
+    piece: int = 1024,
+) -> DataFrame:
+    """For each item, the ``k`` items most often within ``reach`` steps of it in a user's clicks and purchases,
+    and, with ``span_ms``, no further away in time.
+
+    Every pair within reach counts, whatever a history's length: pairs grow with ``reach`` times the
+    rows. A row's place in its history is its place in a time chunk plus the rows of the chunks before. The
+    history is then cut into pieces of ``piece`` places, each with the last ``reach`` rows of the piece before
+    it, so a user with a large part of all rows is spread over many tasks.
+    """
+    touched = events.filter(
+        F.col("behavior").isin("click", "buy") & (F.col("itemId") != "") & F.col("userId").isNotNull()
+    ).select("userId", "eventId", F.col("itemId").alias("item"), F.unix_millis("event_ts").alias("ms"))
+    rows = touched.withColumn("chunk", bucket(F.col("ms"), chunk_ms))
+    inside = Window.partitionBy("userId", "chunk").orderBy("ms", "eventId")
+    numbered = rows.select(
+        "userId", "chunk", "item", "ms",
+        F.row_number().over(inside).cast("bigint").alias("no"), F.lead("ms").over(inside).isNull().alias("chunk_end"),
+    )
+    by_chunk = Window.partitionBy("userId").orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
+    before = numbered.filter("chunk_end").select("userId", "chunk", (F.sum("no").over(by_chunk) - F.col("no")).alias("before"))
+    place = (F.col("before") + F.col("no") - 1).alias("place")
+    placed = numbered.join(before, ["userId", "chunk"]).select("userId", "item", "ms", place)
+    size = max(piece, reach)
+    own = F.floor(F.col("place") / size)
+    # the last rows of a piece are also what the next piece looks back on
+    pieces = F.when(F.pmod("place", F.lit(size)) >= size - reach, F.array(own, own + 1)).otherwise(F.array(own))
+    dealt = placed.select("*", own.alias("own"), F.explode(pieces).alias("piece"))
+    earlier = Window.partitionBy("userId", "piece").orderBy("place").rowsBetween(-reach, -1)
+    looked = dealt.select("*", F.collect_list(F.struct("item", "ms")).over(earlier).alias("earlier")).filter("own = piece")
+    pairs = looked.select("item", "ms", F.explode("earlier").alias("e")).filter(F.col("e.item") != F.col("item"))
+    if span_ms is not None:
+        pairs = pairs.filter(F.col("ms") - F.col("e.ms") <= span_ms)
+    return _best_pairs(pairs.select("item", F.col("e.item").alias("previous")), k)

@@ -167,6 +167,22 @@ def _session_windows_closed(gap_ms: int) -> str:
     return ctes + _closed(body[len(ctes) :], "session_end")
 
 
+def _pairs(reach: int, more: str = "") -> tuple[str, str, str]:
+    return (
+        """ SELECT item_id, CAST(rank AS INTEGER) AS rank, other_id, n FROM (
+   SELECT *, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY n DESC, other_id) AS rank FROM (
+     SELECT item_id, other_id, COUNT(*) AS n FROM (
+       SELECT item AS item_id, other AS other_id FROM near UNION ALL SELECT other, item FROM near)
+     GROUP BY 1, 2)) WHERE rank <= 10""",
+        """touched AS (
+  SELECT user_id, item, ts, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, eid) AS place
+  FROM b WHERE behavior IN ('click', 'buy'))""",
+        f"""near AS (
+  SELECT a.item, b.item AS other FROM touched a JOIN touched b
+  ON a.user_id = b.user_id AND b.place BETWEEN a.place - {reach} AND a.place - 1 AND a.item <> b.item{more})""",
+    )
+
+
 def all_oracles() -> dict[str, str]:
     batch = _batch()
     same = ("parse_behavior", "event_time_fallback", "raw_events", "currency_to_cny")
@@ -186,7 +202,7 @@ def _streams() -> dict[str, str]:
 
 
 def _batch() -> dict[str, str]:
-    return {
+    found = {
         "parse_behavior": _with(
             """ SELECT user_id AS "userId", eid AS "eventId", session_id AS "sessionId", country AS "countryCode",
  site AS "siteId", behavior, item AS "itemId", term AS "searchTerm", CAST(age AS INTEGER) AS age, level,
@@ -254,6 +270,14 @@ def _batch() -> dict[str, str]:
  FROM (SELECT *, CAST(CAST(make_timestamp(arrival * 1000) AS DATE) AS VARCHAR) AS day,
    MAX(ts) OVER (PARTITION BY user_id ORDER BY arrival, eid
      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM b) GROUP BY day"""
+        ),
+        "lateness_profile_global": _with(
+            """ SELECT day, COUNT(*) AS n, COUNT(*) FILTER (arrival > ts) AS delayed,
+ COUNT(*) FILTER (ts < newest) AS out_of_order, COUNT(*) FILTER (arrival - ts > 5000) AS beyond_bound,
+ MAX(GREATEST(arrival - ts, 0)) AS max_delay_ms,
+ CAST(COUNT(*) FILTER (ts < newest) AS DOUBLE) / COUNT(*) AS out_of_order_share
+ FROM (SELECT *, CAST(CAST(make_timestamp(arrival * 1000) AS DATE) AS VARCHAR) AS day,
+   MAX(ts) OVER (ORDER BY arrival, eid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM b) GROUP BY day"""
         ),
         "backlog_alarm": _with(
             """ SELECT window_start, cnt, max_delay_ms, cnt / 2.0 AS qps,
@@ -340,6 +364,8 @@ def _batch() -> dict[str, str]:
   SELECT item, LAG(item) OVER (PARTITION BY user_id ORDER BY ts, eid) AS prev
   FROM b WHERE behavior IN ('click', 'buy')) WHERE prev <> item)""",
         ),
+        "item_pairs": _with(*_pairs(3)),
+        "item_pairs_12h": _with(*_pairs(5, f" AND a.ts - b.ts <= {WIDE_GAP_MS}")),
         "inverted_index": f"""WITH {_POSTINGS}
 SELECT lang, token, doc_id, tf, COUNT(*) OVER (PARTITION BY lang, token) AS df FROM postings""",
         "search_documents": f"""WITH {_POSTINGS},
@@ -360,3 +386,4 @@ SELECT lang, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS DOUBLE) AS sco
             _monitor(3600),
         ),
     }
+    return found | {"search_stored_index": found["search_documents"]}

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.operators import archive, enrich, monitor, parse, profile, ranking, search, sessions, windows
+from clickpulse.operators import archive, enrich, monitor, parse, profile, ranking, search, sessions, stored_index, windows
+from clickpulse.session import checkpoint_root
 from clickpulse.sources import catalog, tables
 from clickpulse.streaming import jobs
 
@@ -104,6 +106,17 @@ def lateness_profile(spark, sf_dir):
     return monitor.lateness_profile(_events(spark, sf_dir, ["userId", "eventId"]))
 
 
+def lateness_profile_global(spark, sf_dir):
+    return monitor.lateness_profile_global(_events(spark, sf_dir, ["eventId"]))
+
+
+def search_stored_index(spark, sf_dir):
+    """Builds the stored index of all documents and asks it."""
+    name = f"index_{uuid.uuid4().hex}"
+    stored_index.build_index(_documents(spark, sf_dir), name, f"{checkpoint_root(spark)}/{name}")
+    return stored_index.search_index(spark, name, SEARCH_TERMS)
+
+
 def gmv_by_day_country(spark, sf_dir):
     return enrich.gmv_by_day_country(parse.archive_rows(_raw(spark, sf_dir)))
 
@@ -155,6 +168,7 @@ BATCH: dict[str, Query] = {
     "monitor_intervals_1h": lambda s, d: monitor.monitor_intervals(_raw(s, d), 3600, fill_empty=True),
     "funnel_rates": lambda s, d: monitor.funnel_rates(_events(s, d, ["countryCode", "behavior"])),
     "lateness_profile": lateness_profile,
+    "lateness_profile_global": lateness_profile_global,
     "backlog_alarm": lambda s, d: monitor.backlog_alarm(monitor.monitor_intervals(_raw(s, d)), 4000, 0.9),
     # lookups
     "currency_to_cny": currency_to_cny,
@@ -175,8 +189,13 @@ BATCH: dict[str, Query] = {
     "item_cooccurrence": lambda s, d: profile.item_cooccurrence(
         _events(s, d, ["userId", "eventId", "behavior", "itemId"])
     ),
+    "item_pairs": lambda s, d: profile.item_pairs(_events(s, d, ["userId", "eventId", "behavior", "itemId"])),
+    "item_pairs_12h": lambda s, d: profile.item_pairs(
+        _events(s, d, ["userId", "eventId", "behavior", "itemId"]), 5, span_ms=WIDE_GAP_MS
+    ),
     "inverted_index": lambda s, d: search.inverted_index(_documents(s, d)),
     "search_documents": lambda s, d: search.search_documents(_documents(s, d), SEARCH_TERMS),
+    "search_stored_index": search_stored_index,
 }
 
 

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from clickpulse.operators import monitor, parse, profile, search, sessions
+from clickpulse.operators import monitor, parse, profile, search, sessions, stored_index
 
 SCHEMA = "userId string, eventId string, behavior string, itemId string, event_ms bigint, arrival bigint"
 
@@ -154,3 +154,99 @@ def test_rows_without_a_user_are_kept(records):
     events = parse.parse_behavior(raw)
     assert sessions.sessionize(events).count() == 2
     assert monitor.lateness_profile(events).collect()[0]["n"] == 2
+
+
+@pytest.mark.parametrize("reach, span, piece", [(1, None, 1024), (3, None, 7), (5, 30_000, 5), (40, 100_000, 8)])
+def test_item_pairs(events, rows, reach, span, piece):
+    """Every pair within reach of every history, the long one included, whatever the pieces."""
+    want = defaultdict(Counter)
+    for mine in by_user(rows, lambda r: (r[4], r[1])).values():
+        items = [(r[3], r[4]) for r in mine if r[2] in ("click", "buy")]
+        for i, (item, ms) in enumerate(items):
+            for other, before in items[max(0, i - reach) : i]:
+                if other != item and (span is None or ms - before <= span):
+                    want[item][other] += 1
+                    want[other][item] += 1
+    got = defaultdict(list)
+    for r in profile.item_pairs(events, reach, 4, span_ms=span, piece=piece).collect():
+        got[r["item_id"]].append((r["rank"], r["other_id"], r["n"]))
+    assert {i: sorted(rs) for i, rs in got.items()} == {
+        i: [(k + 1, o, n) for k, (o, n) in enumerate(sorted(c.items(), key=lambda x: (-x[1], x[0]))[:4])] for i, c in want.items()
+    }
+
+
+def test_one_step_pairs_are_the_neighbours(events):
+    assert sorted(profile.item_pairs(events, 1).collect()) == sorted(profile.item_cooccurrence(events).collect())
+
+
+@pytest.mark.parametrize("chunk_ms, chunks", [(1000, 4096), (1000, 3), (500, 1)])
+def test_lateness_across_users(events, rows, chunk_ms, chunks):
+    newest, late = None, 0
+    for r in sorted(rows, key=lambda r: (r[5], r[1])):
+        late += newest is not None and r[4] < newest
+        newest = r[4] if newest is None else max(newest, r[4])
+    row = monitor.lateness_profile_global(events, chunk_ms=chunk_ms, chunks=chunks).collect()[0]
+    assert (row["out_of_order"], row["n"]) == (late, len(rows))
+    assert row["delayed"] == sum(r[5] > r[4] for r in rows) and row["beyond_bound"] == sum(r[5] - r[4] > 5000 for r in rows)
+
+
+def test_lateness_before_1970(spark):
+    rows = [("a", -5_000_000, -5_000_000), ("b", -4_000_000, -6_000_000), ("c", 3_000_000, 3_000_000), ("d", 4_000_000, -9_000_000)]
+    frame = spark.createDataFrame(rows, "eventId string, arrival bigint, ms bigint").select(
+        "eventId", F.timestamp_millis("arrival").alias("timestamp"), F.timestamp_millis("ms").alias("event_ts")
+    )
+    assert sum(r["out_of_order"] for r in monitor.lateness_profile_global(frame, chunks=2).collect()) == 2
+
+
+def test_a_hot_history_is_spread(spark):
+    """A third of all rows are one user's; no task of the pairs gets more than a piece and what it looks back on."""
+    rows = spark.range(30_000).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('u', id)) AS userId", "CAST(id AS string) AS eventId", "'click' AS behavior",
+        "concat('i', id % 50) AS itemId", "timestamp_millis(id * 10) AS event_ts",
+    )
+    text = profile.item_pairs(rows, 3, piece=100)._jdf.queryExecution().executedPlan().toString()
+    assert "Window [collect_list" in text and "[userId" in text.split("Window [collect_list")[1][:200]
+    assert "piece" in text.split("Window [collect_list")[1][:300]
+    assert profile.item_pairs(rows, 3, piece=100).count() > 0
+
+
+INDEX_TERMS = ("w1", "W2", "w17", "w40", "missing")
+
+
+@pytest.fixture(scope="module")
+def index(spark, tmp_path_factory):
+    rng = random.Random(3)
+    docs = []
+    for i in range(3000):
+        lang, size = rng.choice(["en", "en", "de", None]), rng.choice([3, 5, 8, 200 if rng.random() < 0.05 else 10])
+        docs.append((i, " ".join(f"w{min(int(rng.expovariate(0.08)), 60)}" for _ in range(size)), lang))
+    docs += [(9000 + i, docs[7][1], "en") for i in range(40)]  # equal scores
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    stored_index.build_index(frame, "test_index", str(tmp_path_factory.mktemp("index") / "i"), buckets=16, width=20)
+    return frame
+
+
+@pytest.mark.parametrize("k", [1, 10, 60, 5000])
+def test_stored_index_ranks_as_a_search_of_all_texts(spark, index, k):
+    want = sorted(search.search_documents(index, INDEX_TERMS, k).collect())
+    assert sorted(stored_index.search_index(spark, "test_index", INDEX_TERMS, k).collect()) == want
+    assert sorted(stored_index.search_index(spark, "test_index", INDEX_TERMS, k, early_stop=False).collect()) == want
+
+
+def test_early_stop_scores_fewer_rows(spark, index):
+    live = stored_index.live_postings(spark, "test_index", ["w1", "w2"], 5).count()
+    assert 0 < live < 0.7 * stored_index.term_postings(spark, "test_index", ["w1", "w2"]).count()
+
+
+def test_a_query_reads_the_buckets_of_its_terms_only(spark, index):
+    text = stored_index.search_index(spark, "test_index", ["w1", "w17"])._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in text.splitlines() if "FileScan" in line and "token" in line]
+    assert scans and all("SelectedBucketsCount: 2 out of 16" in line or "SelectedBucketsCount: 1 out of 16" in line for line in scans)
+    files = stored_index.term_postings(spark, "test_index", ["w1"]).selectExpr("input_file_name() AS f").distinct().count()
+    assert files <= 8 < spark.table("test_index").selectExpr("input_file_name() AS f").distinct().count()
+
+
+def test_stored_index_of_no_documents(spark, tmp_path):
+    empty = spark.createDataFrame([], "doc_id bigint, text string, lang string")
+    stored_index.build_index(empty, "empty_index", str(tmp_path / "i"))
+    assert stored_index.search_index(spark, "empty_index", ["a"]).collect() == []
