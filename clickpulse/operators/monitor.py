@@ -85,21 +85,34 @@ def monitor_intervals(raw: DataFrame, seconds: int = MONITOR_INTERVAL_S, *, fill
 
 
 def _fill_empty(counts: DataFrame, step_ms: int) -> DataFrame:
-    """Left join on every interval start between the first and the last.
+    """Each interval, and after it those without records up to the next one, all counters zero.
 
-    One row lists the days only; they are spread over tasks, which list hours and then intervals.
+    The next interval is looked up within the day; a day's last one takes the first of a later day. Days
+    are matched through a tree over their first intervals, so nothing is ordered in one task and the records are
+    read once. A gap becomes hours first, and an hour its intervals.
     """
-    hour = max(3_600_000 // step_ms, 1) * step_ms
-    span = counts.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi")).filter("lo IS NOT NULL")
-
-    def split(rows: DataFrame, width: int, step: int, name: str) -> DataFrame:
-        last = F.least("hi", F.col("from") + F.lit(width - step))
-        return rows.select("hi", F.explode(F.sequence("from", last, F.lit(step).cast("bigint"))).alias(name))
-
-    days = span.select("hi", F.explode(F.sequence("lo", "hi", F.lit(24 * hour).cast("bigint"))).alias("from"))
-    hours = split(days.repartition("from"), 24 * hour, hour, "from")
-    starts = split(hours, hour, step_ms, "window_start").drop("hi")
-    return starts.join(counts, "window_start", "left").fillna(0, subset=list(_COUNTS))
+    day_ms = 24 * max(3_600_000 // step_ms, 1) * step_ms
+    days = counts.withColumn("day", bucket(F.col("window_start"), day_ms))
+    inside = Window.partitionBy("day").orderBy("window_start")
+    marked = days.select("*", F.lead("window_start").over(inside).alias("next"), F.lag("window_start").over(inside).alias("before"))
+    # the first interval of later days, as the largest of what is before them with all signs turned
+    # always true, and uses all counters, so that this side shares the shuffle of the other
+    each = sum((F.coalesce(F.col(c), F.lit(0)) for c in _COUNTS), F.abs(F.coalesce(F.col("amount"), F.lit(0)))) >= 0
+    firsts = marked.filter(F.col("before").isNull() & each).select((-F.col("day")).alias("at"), (-F.col("window_start")).alias("first"))
+    later = _earlier_max(firsts, "at", "first", day_ms).select((-F.col("at")).alias("day"), (-F.col("earlier")).alias("later"))
+    end = F.coalesce("next", "later", F.col("window_start") + step_ms)
+    gaps = marked.join(later, "day", "left").withColumn("end", end).drop("day", "next", "before", "later")
+    hour_ms = day_ms // 24
+    hours = F.explode(F.sequence("window_start", F.col("end") - 1, F.lit(hour_ms))).alias("from")
+    split = gaps.select("*", hours)
+    last = F.least(F.col("end"), F.col("from") + hour_ms) - step_ms
+    filled = split.select("*", F.explode(F.sequence("from", last, F.lit(step_ms))).alias("start"))
+    own = F.col("start") == F.col("window_start")
+    return filled.select(
+        F.col("start").alias("window_start"),
+        *[F.when(own, F.col(c)).otherwise(0).cast("bigint").alias(c) for c in _COUNTS],
+        F.when(own, F.col("amount")).alias("amount"),
+    )
 
 
 def funnel_rates(events: DataFrame, by: str = "countryCode") -> DataFrame:

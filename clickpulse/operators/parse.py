@@ -69,10 +69,11 @@ def event_time_fallback(raw: DataFrame) -> DataFrame:
     )
 
 
-def olap_rows(raw: DataFrame, *, keep: Iterable[str] = ()) -> DataFrame:
+def olap_rows(raw: DataFrame, *, keep: Iterable[str] = (), event_id: bool = False) -> DataFrame:
     """Seven-column OLAP row. Absent keys take defaults; a present value that cannot be
-    read drops the row, and so does an explicit null age or an age outside 0 to 255."""
-    names = ["userId", "behavior", "itemId", "ts", "age", "level", "sessionId"]
+    read drops the row, and so does an explicit null age or an age outside 0 to 255. With ``event_id``
+    the id comes before them, or a digest of the line where there is none."""
+    names = ["userId", "behavior", "itemId", "ts", "age", "level", "sessionId", *(["eventId"] if event_id else [])]
     rows = extract_object(raw, names, [*keep, "value"], drop_broken=True)
     value = F.col("value")
     ts = F.coalesce(to_long(F.col("ts")), F.when(~unreadable(F.col("ts"), "bigint"), F.lit(0).cast("bigint")))
@@ -84,6 +85,7 @@ def olap_rows(raw: DataFrame, *, keep: Iterable[str] = ()) -> DataFrame:
     )
     typed = rows.select(
         *keep,
+        *([F.coalesce("eventId", F.sha2(value, 256)).alias("event_id")] if event_id else []),
         F.col("userId").alias("user_id"),
         F.col("behavior").alias("event_type"),
         F.col("itemId").alias("item_id"),
@@ -114,11 +116,11 @@ def archive_rows(raw: DataFrame, *, keep: Iterable[str] = ()) -> DataFrame:
     )
 
 
-def raw_documents(raw: DataFrame) -> DataFrame:
+def raw_documents(raw: DataFrame, *, keep: Iterable[str] = ()) -> DataFrame:
     """Every line with a document id, as a text index takes it. The id is the event id, or
     a digest of the line where there is none, so that a replay overwrites itself."""
-    rows = extract_object(raw, ["eventId"], ["value"])
-    return rows.select(F.coalesce("eventId", F.sha2("value", 256)).alias("event_id"), "value")
+    rows = extract_object(raw, ["eventId"], [*keep, "value"])
+    return rows.select(*keep, F.coalesce("eventId", F.sha2("value", 256)).alias("event_id"), "value")
 
 
 def reject_reason(raw: DataFrame) -> DataFrame:

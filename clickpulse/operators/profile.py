@@ -10,19 +10,32 @@ from clickpulse.operators.ranking import top_n
 from clickpulse.schema import DEFAULT_LEVEL
 
 
-def gmv_cube(events: DataFrame) -> DataFrame:
-    """GMV, purchases and distinct users by country and level with all subtotals.
+CUBE_PARTS = "country string, level string, userId string, amount decimal(38,10), buys bigint"
 
-    Rows are reduced per (country, level, user) before the cube multiplies them.
-    """
+
+def cube_parts(events: DataFrame) -> DataFrame:
+    """Amount and purchases per (country, level, user): what :func:`gmv_cube` sums, in rows that add up."""
     buy = F.col("behavior") == "buy"
-    per_user = events.groupBy(
+    return events.groupBy(
         F.coalesce("countryCode", F.lit("")).alias("country"),
         F.coalesce("level", F.lit(DEFAULT_LEVEL)).alias("level"),
         "userId",
-    ).agg(F.sum(F.when(buy, F.col("priceCNY"))).alias("amount"), F.count_if(buy).alias("buys"))
+    ).agg(
+        F.sum(F.when(buy, F.col("priceCNY"))).cast("decimal(38,10)").alias("amount"),
+        F.count_if(buy).alias("buys"),
+    )
+
+
+def merged_parts(parts: DataFrame) -> DataFrame:
+    """Parts of several runs as one row for each of their keys."""
+    totals = F.sum("amount").cast("decimal(38,10)").alias("amount"), F.sum("buys").alias("buys")
+    return parts.groupBy("country", "level", "userId").agg(*totals)
+
+
+def cube_of(parts: DataFrame) -> DataFrame:
+    """The cube over parts with one row for each of their keys."""
     return (
-        per_user.cube("country", "level")
+        parts.cube("country", "level")
         .agg(
             F.grouping_id().alias("gid"),
             F.sum("amount").alias("amount"),
@@ -36,6 +49,14 @@ def gmv_cube(events: DataFrame) -> DataFrame:
     )
 
 
+def gmv_cube(events: DataFrame) -> DataFrame:
+    """GMV, purchases and distinct users by country and level with all subtotals.
+
+    Rows are reduced per (country, level, user) before the cube multiplies them.
+    """
+    return cube_of(cube_parts(events))
+
+
 def user_profile(events: DataFrame) -> DataFrame:
     """Per user: rows by behaviour, spend, last seen, and the item touched most (ties by id).
 

@@ -104,3 +104,23 @@ def online_users(
     else:
         counted = known.groupBy(window, "userId").count().groupBy("w").agg(F.count(F.lit(1)).alias("users"))
     return counted.select(F.unix_millis("w.end").alias("window_end"), "users")
+
+
+def user_sketches(events: DataFrame, slide: str = "1 minute", *, precision: int = 14) -> DataFrame:
+    """``pane`` (start of one slide) and ``sketch`` of its distinct users: one row, and in a stream one state row,
+    for each pane, however many users it has. The relative error of an estimate is about 1.04 over the
+    root of two to the power ``precision``: 0.8 % by default."""
+    known = _kept(events, F.col("userId").isNotNull())
+    window = F.window("event_ts", slide).alias("w")
+    return known.groupBy(window).agg(F.hll_sketch_agg("userId", precision).alias("sketch")).select(
+        F.unix_millis("w.start").alias("pane"), "sketch"
+    )
+
+
+def sketched_users(panes: DataFrame, size: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
+    """Estimated distinct users of each window out of its panes' sketches, which may be stored ones. With a
+    ``size`` that is the ``slide``, such as a day, panes are merged into longer ranges."""
+    first = bucket(F.col("pane"), duration_ms(slide))
+    spread = panes.select("sketch", _window_ends(first, size, slide).alias("window_end"))
+    merged = spread.groupBy("window_end").agg(F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select("window_end", F.hll_sketch_estimate("sketch").alias("users"))

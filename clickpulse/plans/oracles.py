@@ -197,6 +197,13 @@ def _streams() -> dict[str, str]:
         "stream_session_windows": _session_windows_closed(WIDE_GAP_MS),
         "stream_sessionize": f"{_sessionize(300_000)} WHERE ts < {_BOUND}",
         "olap_table": _with(_OLAP),
+        "stream_olap_rows_once": _with(_OLAP),
+        "kept_cube": _batch()["gmv_cube"],
+        "stream_monitor_filled": _with(
+            f" SELECT * FROM ({_monitor_out(3600, 'filled')}) WHERE window_start <= (SELECT MAX(window_start) FROM m"
+            " WHERE window_start + 3600000 <= (SELECT MAX(arrival) - 5000 FROM e))",
+            _monitor(3600), _FILLED,
+        ),
         "dwd_table": _with(_ARCHIVE),
     }
 
@@ -215,6 +222,11 @@ def _batch() -> dict[str, str]:
         "reject_report": _with(
             """ SELECT CASE WHEN NOT ok THEN 'malformed' WHEN behavior NOT IN ('search', 'click', 'buy')
  THEN 'unknown_behavior' ELSE 'ok' END AS reason, COUNT(*) AS n FROM e GROUP BY 1"""
+        ),
+        "reject_outcomes": _with(
+            """ SELECT CASE WHEN NOT ok THEN 'malformed' WHEN event_id % 89 = 1 THEN 'missing_user'
+ WHEN event_id % 83 = 2 THEN 'bad_ts' WHEN behavior NOT IN ('search', 'click', 'buy') THEN 'unknown_behavior'
+ WHEN event_id % 79 = 3 AND behavior = 'buy' THEN 'bad_price' ELSE 'ok' END AS reason, COUNT(*) AS n FROM e GROUP BY 1"""
         ),
         "gmv_tumbling": _with(_GMV_OUT, _gmv(5000)),
         "gmv_tumbling_1h": _with(_GMV_OUT, _gmv(3_600_000)),
@@ -331,6 +343,9 @@ def _batch() -> dict[str, str]:
             " SELECT window_end, users FROM online",
             _slide("online", "", "TRUE", 300_000, 60_000, "COUNT(DISTINCT user_id) AS users"),
         ),
+        "daily_users_sketch": _with(
+            """ SELECT (ts // 86400000 + 1) * 86400000 AS window_end, COUNT(DISTINCT user_id) AS users FROM b GROUP BY 1"""
+        ),
         "hot_products_topn": _with(
             """ SELECT window_end, CAST(rank AS INTEGER) AS rank, word AS item_id, n FROM (
  SELECT *, ROW_NUMBER() OVER (PARTITION BY window_end ORDER BY n DESC, word) AS rank FROM hot) WHERE rank <= 10""",
@@ -386,4 +401,5 @@ SELECT lang, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS DOUBLE) AS sco
             _monitor(3600),
         ),
     }
-    return found | {"search_stored_index": found["search_documents"]}
+    same = {"search_stored_index": "search_documents", "online_users_sketch": "online_users"}
+    return found | {name: found[other] for name, other in same.items()}

@@ -143,6 +143,7 @@ BATCH: dict[str, Query] = {
     "parse_behavior": parse_behavior,
     "event_time_fallback": lambda s, d: parse.event_time_fallback(_raw(s, d)),
     "reject_report": lambda s, d: parse.reject_report(_raw(s, d)),
+    "reject_outcomes": lambda s, d: parse.reject_report(tables.behavior_records(s, d, damaged=True)),
     # revenue
     "gmv_tumbling": lambda s, d: windows.gmv_tumbling(_buys(s, d)),
     "gmv_tumbling_1h": lambda s, d: windows.gmv_tumbling(_buys(s, d), "1 hour"),
@@ -183,6 +184,10 @@ BATCH: dict[str, Query] = {
     # summaries
     "gmv_cube": gmv_cube,
     "online_users": lambda s, d: windows.online_users(_events(s, d, ["userId"])),
+    "online_users_sketch": lambda s, d: windows.sketched_users(windows.user_sketches(_events(s, d, ["userId"]))),
+    "daily_users_sketch": lambda s, d: windows.sketched_users(
+        windows.user_sketches(_events(s, d, ["userId"])), "1 day", "1 day"
+    ),
     "hot_products_topn": lambda s, d: ranking.hot_products_topn(_events(s, d, ["behavior", "itemId"])),
     "sales_ranking": sales_ranking,
     "user_profile": user_profile,

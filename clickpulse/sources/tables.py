@@ -12,8 +12,15 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def records_from(events: DataFrame, customers: DataFrame) -> DataFrame:
-    """Raw records: every event as one JSON line keyed by its user, with an arrival time.
+# Fixed rules, the first that fits: an event's line without its user, with a time or an amount that is no number.
+DAMAGE = """CASE WHEN event_id % 89 = 1 THEN regexp_replace(line, '"userId":"[^"]*"', '"userId":""')
+     WHEN event_id % 83 = 2 THEN regexp_replace(line, '"ts":[0-9]+', '"ts":"zz"')
+     WHEN event_id % 79 = 3 THEN regexp_replace(line, '"priceCNY":[0-9.]+', '"priceCNY":"x"') ELSE line END"""
+
+
+def records_from(events: DataFrame, customers: DataFrame, *, damaged: bool = False) -> DataFrame:
+    """Raw records: every event as one JSON line keyed by its user, with an arrival time. ``damaged`` makes some
+    lines break each of the rules for clean rows.
 
     The customer join carries no hint. The line comes out of a one-element ``inline``, so
     that filters on it stay above and do not build the line again.
@@ -47,15 +54,18 @@ def records_from(events: DataFrame, customers: DataFrame) -> DataFrame:
             'currency', currency,
             'priceCNY', CAST(price * rate AS decimal(18,6)),
             'ts', ms)) AS line""",
+        "event_id",
         "event_id % 97 = 0 AS cut",
         "timestamp_millis(ms + if(event_id % 10 = 0, event_id % 5000, 0)) AS timestamp",
     )
+    if damaged:
+        lines = lines.withColumn("line", F.expr(DAMAGE))
     value = "if(cut, left(line, length(line) - 1), line)"
     return lines.selectExpr("key", f"inline(array(named_struct('value', {value})))", "timestamp")
 
 
-def behavior_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records_from(load(spark, sf_dir, "events"), load(spark, sf_dir, "customer"))
+def behavior_records(spark: SparkSession, sf_dir: str, *, damaged: bool = False) -> DataFrame:
+    return records_from(load(spark, sf_dir, "events"), load(spark, sf_dir, "customer"), damaged=damaged)
 
 
 def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:

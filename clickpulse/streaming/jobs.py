@@ -14,13 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickpulse.operators import enrich, monitor, parse, ranking, sessions, windows
+from clickpulse.operators import enrich, monitor, parse, profile, ranking, sessions, windows
 from clickpulse.schema import GMV_WINDOW, HOT_SLIDE, HOT_TOP_N, HOT_WINDOW, MONITOR_INTERVAL_S, SESSION_GAP_MS, TS_MAX_MS
 from clickpulse.session import checkpoint_root
 from clickpulse.sources import catalog, tables
-from clickpulse.streaming import keyed, sinks
+from clickpulse.streaming import kept, keyed, sinks
 
 LATENESS = "5 seconds"
+#: How long after its first arrival a record that comes again is known.
+REPLAYED = "1 hour"
 ALL = {"availableNow": True}
 
 # How often each job commits its progress.
@@ -142,8 +144,46 @@ def monitor_job(
     return start(monitored(raw), write, checkpoint, trigger or MONITOR_TRIGGER)
 
 
-def olap_job(raw: DataFrame, write: sinks.BatchWriter, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    return start(parse.olap_rows(raw), write, checkpoint, trigger or JDBC_TRIGGER)
+def delivered_once(rows: DataFrame) -> DataFrame:
+    """Rows with an ``event_id`` and, under a watermark, their arrival ``timestamp``: of those with the same id
+    that arrive within the watermark's bound, the first. An id is forgotten once the bound has passed it."""
+    return rows.dropDuplicatesWithinWatermark(["event_id"])
+
+
+def olap_once(raw: DataFrame, within: str) -> DataFrame:
+    """OLAP rows of events that come again ``within`` a time, as after a replay of the topic, once."""
+    rows = parse.olap_rows(raw.withWatermark("timestamp", within), keep=["timestamp"], event_id=True)
+    return delivered_once(rows).drop("event_id", "timestamp")
+
+
+def documents_once(raw: DataFrame, within: str) -> DataFrame:
+    """Raw documents, each id once ``within`` a time."""
+    rows = parse.raw_documents(raw.withWatermark("timestamp", within), keep=["timestamp"])
+    return delivered_once(rows).drop("timestamp")
+
+
+def olap_job(
+    raw: DataFrame, write: sinks.BatchWriter, checkpoint: str, trigger: dict | None = None, within: str | None = None
+) -> StreamingQuery:
+    """``within`` leaves out events that have come before in that time: the target table has no key to do so."""
+    return start(olap_once(raw, within) if within else parse.olap_rows(raw), write, checkpoint, trigger or JDBC_TRIGGER)
+
+
+def cube_parts_kept(spark: SparkSession, path: str) -> kept.Kept:
+    """The parts of the cube, kept up to date under ``path``."""
+    return kept.Kept(spark, path, profile.CUBE_PARTS, profile.merged_parts)
+
+
+def cube_job(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Keeps the cube's parts under ``path``; :func:`kept_cube` reads the cube at any time."""
+    events = parse.parse_behavior(raw, ["userId", "countryCode", "level", "behavior", "priceCNY"])
+    write = cube_parts_kept(raw.sparkSession, path).writer(profile.cube_parts)
+    return start(events, write, checkpoint, trigger or SINK_TRIGGER)
+
+
+def kept_cube(spark: SparkSession, path: str) -> DataFrame:
+    """The cube over all batches so far: that of :func:`clickpulse.operators.profile.gmv_cube`."""
+    return profile.cube_of(cube_parts_kept(spark, path).read())
 
 
 def archive_job(
@@ -153,8 +193,12 @@ def archive_job(
     return start(rows, sinks.archive_writer(path, arrivals), checkpoint, trigger or SINK_TRIGGER)
 
 
-def index_job(raw: DataFrame, write: sinks.BatchWriter, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    return start(parse.raw_documents(raw), write, checkpoint, trigger or HOT_TRIGGER)
+def index_job(
+    raw: DataFrame, write: sinks.BatchWriter, checkpoint: str, trigger: dict | None = None, within: str | None = None
+) -> StreamingQuery:
+    """``within`` leaves out documents that have come before in that time; an index would overwrite them."""
+    rows = documents_once(raw, within) if within else parse.raw_documents(raw)
+    return start(rows, write, checkpoint, trigger or HOT_TRIGGER)
 
 
 def hot_search_job(
@@ -225,7 +269,7 @@ def _drain(make: Callable[[DataFrame], DataFrame], wrap=None, shape: Callable[[D
         like = shape(rows) if shape else rows
         base = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex}"
         write = sinks.file_writer(f"{base}/out")
-        running = start(rows, wrap(write) if wrap else write, f"{base}/checkpoint", ALL)
+        running = start(rows, wrap(write, base) if wrap else write, f"{base}/checkpoint", ALL)
         running.awaitTermination()
         return sinks.read_files(spark, f"{base}/out", like)
 
@@ -248,7 +292,7 @@ def _amounts(raw: DataFrame) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "stream_gmv_tumbling": _drain(gmv),
-        "stream_hot_search_topn": _drain(hot_words, ranked, lambda rows: _ranked_shape(rows)),
+        "stream_hot_search_topn": _drain(hot_words, lambda write, _: ranked(write), lambda rows: _ranked_shape(rows)),
         "stream_olap_rows": _drain(parse.olap_rows),
         "stream_dwd_rows": _drain(parse.archive_rows),
         "stream_monitor_intervals": _drain(lambda raw: monitored(raw, 3600)),
@@ -260,11 +304,25 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_session_windows": _drain(lambda raw: user_sessions(raw, "12 hours")),
         "stream_online_users": _drain(online),
         "stream_sessionize": _drain(numbered_sessions),
+        "stream_olap_rows_once": _drain(lambda raw: olap_once(raw.unionByName(raw), REPLAYED)),
+        "stream_monitor_filled": _drain(lambda raw: monitored(raw, 3600), _filled),
+        "kept_cube": _kept_cube_query,
         "olap_table": olap_table,
         "dwd_table": dwd_table,
     }
 
 
+def _filled(write: sinks.BatchWriter, base: str) -> sinks.BatchWriter:
+    return sinks.filling_writer(write, f"{base}/last", 3_600_000)
+
+
+def _kept_cube_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cube job over all records, then the cube it has kept."""
+    base = f"{checkpoint_root(spark)}/cube-{uuid.uuid4().hex}"
+    cube_job(stream_records(spark, sf_dir), f"{base}/parts", f"{base}/checkpoint", ALL).awaitTermination()
+    return kept_cube(spark, f"{base}/parts")
+
+
 def olap_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The OLAP job over all records, read back through the catalog's table."""
     base = f"{checkpoint_root(spark)}/olap-{uuid.uuid4().hex}"

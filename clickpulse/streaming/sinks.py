@@ -109,44 +109,71 @@ def latest_value(stored: DataFrame) -> DataFrame:
     )
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop's path and its file system."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def listed(spark: SparkSession, path: str, *, hidden: bool = False) -> list[str]:
+    """Names in a folder; none where there is no such folder."""
+    target, system = _files(spark, path)
+    names = sorted(f.getPath().getName() for f in system.listStatus(target)) if system.exists(target) else []
+    return [n for n in names if hidden or n[0] not in "._"]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    target, system = _files(spark, path)
+    system.delete(target, True)
+
+
 def archive_writer(path: str, arrivals: str) -> BatchWriter:
     """Archive rows into ``dt`` folders, and per batch the first arrival of each day, which
     :func:`commit_days` reads. Rows carry the arrival ``timestamp``.
 
-    A batch is staged first. Its files then move into the day folders under names that its number
-    fixes, after any of an earlier run of the same batch are gone, so a replay leaves no duplicates
-    and the catalog needs one partition per day. Only the batch's file names come to the driver.
+    Tasks write a batch straight into the day folders, under names that begin with its number; nothing is
+    moved afterwards. A mark tells that a batch has begun. Where it is found, or the batch's arrivals
+    are, an earlier run has written files of that number, and they go first, so a replay leaves no duplicates.
+    The catalog needs one partition per day.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark, begun = batch.sparkSession, f"{path}/_begun/batch-{batch_id}"
+        if _exists(spark, begun) or first_arrivals(spark, arrivals).has(batch_id):
+            _clear(spark, path, batch_id)
         rows = batch.persist()
         try:
-            staged = f"{path}/_staged/batch-{batch_id}"
-            rows.drop("timestamp").write.mode("overwrite").partitionBy("dt").parquet(staged)
-            first = rows.groupBy("dt").agg(F.min("timestamp").alias("timestamp"))
-            _write_batch(first, batch_id, arrivals, "parquet", ())
-            _move_days(batch.sparkSession, staged, path, batch_id)
+            _touch(spark, begun)
+            named = rows.drop("timestamp").write.option("mapreduce.output.basename", f"batch-{batch_id}")
+            named.mode("append").partitionBy("dt").parquet(path)
+            first_arrivals(spark, arrivals).add(rows.select("dt", "timestamp"), batch_id)
+            discard(spark, begun)
         finally:
             rows.unpersist()
 
     return write
 
 
-def _move_days(spark: SparkSession, staged: str, path: str, batch_id: int) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    source = hadoop.Path(staged)
-    system = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for day in system.globStatus(hadoop.Path(f"{staged}/dt=*")) or ():
-        target = hadoop.Path(f"{path}/{day.getPath().getName()}")
-        system.mkdirs(target)
-        for old in system.globStatus(hadoop.Path(target, f"batch-{batch_id}-*")) or ():
-            system.delete(old.getPath(), False)
-        names = sorted(f.getPath().getName() for f in system.listStatus(day.getPath()) if f.getPath().getName()[0] not in "._")
-        for number, name in enumerate(names):
-            moved = system.rename(hadoop.Path(day.getPath(), name), hadoop.Path(target, f"batch-{batch_id}-{number}.parquet"))
-            if not moved:
-                raise OSError(f"{day.getPath()}/{name} did not move to {target}")
-    system.delete(source, True)
+def _exists(spark: SparkSession, file: str) -> bool:
+    target, system = _files(spark, file)
+    return system.exists(target)
+
+
+def _clear(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Deletes a batch's files from all days."""
+    target, system = _files(spark, f"{path}/dt=*/batch-{batch_id}-*")
+    for old in system.globStatus(target) or ():
+        system.delete(old.getPath(), False)
+
+
+def first_arrivals(spark: SparkSession, path: str):
+    """The kept table of each day's first arrival."""
+    from clickpulse.streaming.kept import Kept
+
+    def earliest(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("dt").agg(F.min("timestamp").alias("timestamp"))
+
+    return Kept(spark, path, "dt string, timestamp timestamp", earliest)
 
 
 NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
@@ -163,22 +190,72 @@ def commit_days(
 ) -> list[str | None]:
     """Publishes the days that are due: a ``_SUCCESS`` file in the day's folder and, where a
     table is named, one partition in the catalog. Rows without a readable time have the day null,
-    in the default partition. Safe to run again; only day names come to the driver."""
-    seen = spark.read.schema("dt string, timestamp timestamp, batch_id bigint").parquet(arrivals)
-    due = partition_commits(seen, as_of_ms, delay_ms).filter("committed").select("dt")
+    in the default partition. Safe to run again; only day names come to the driver.
+
+    The first arrivals of all batches so far are merged, a row for each day, so a call reads that and the
+    batches since the call before. A day that the table has is not added again.
+    """
+    seen = first_arrivals(spark, arrivals)
+    seen.compact()
+    due = partition_commits(seen.read(), as_of_ms, delay_ms).filter("committed").select("dt")
     days = sorted((row["dt"] for row in due.toLocalIterator()), key=lambda d: (d is None, d))
+    have = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()} if table else set()
     for day in days:
-        _touch(spark, f"{path}/dt={NULL_DAY if day is None else day}/_SUCCESS")
-        if table:
+        name = f"dt={NULL_DAY if day is None else day}"
+        if table and name not in have:
             spec = "null" if day is None else f"'{day}'"
             spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (dt = {spec})")
+        _touch(spark, f"{path}/{name}/_SUCCESS")
     return days
 
 
 def _touch(spark: SparkSession, file: str) -> None:
     """Makes an empty file on whatever file system the path names."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(file)
-    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    target, system = _files(spark, file)
     if not system.exists(target):
         system.create(target).close()
+
+
+def filling_writer(write: BatchWriter, path: str, step_ms: int) -> BatchWriter:
+    """Hands closed intervals on with those between them that had no record, all counters and rates zero.
+
+    The last interval of the batches before is kept under ``path``, so a gap across batches is filled too, and
+    a batch that runs again fills the same. Only the first and the last time of a batch come to the driver.
+    """
+
+    def fill(batch: DataFrame, batch_id: int) -> None:
+        spark, rows = batch.sparkSession, batch.persist()
+        try:
+            span = rows.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi")).first()
+            earlier = sorted(int(n) for n in listed(spark, path) if int(n) < batch_id)
+            last = _read_number(spark, f"{path}/{earlier[-1]}") if earlier else None
+            if span["lo"] is None:
+                write(rows, batch_id)
+                return
+            first = span["lo"] if last is None else min(last + step_ms, span["lo"])
+            starts = spark.range(first, span["hi"] + 1, step_ms).withColumnRenamed("id", "window_start")
+            zeros = [c for c in rows.columns if c != "window_start"]
+            write(starts.join(rows, "window_start", "left").fillna(0, subset=zeros).select(*rows.columns), batch_id)
+            _write_number(spark, f"{path}/{batch_id}", max(span["hi"], span["hi"] if last is None else last))
+            for old in earlier[:-1]:
+                discard(spark, f"{path}/{old}")
+        finally:
+            rows.unpersist()
+
+    return fill
+
+
+def _write_number(spark: SparkSession, file: str, number: int) -> None:
+    target, system = _files(spark, file)
+    out = system.create(target, True)
+    out.writeLong(number)
+    out.close()
+
+
+def _read_number(spark: SparkSession, file: str) -> int:
+    target, system = _files(spark, file)
+    source = system.open(target)
+    try:
+        return source.readLong()
+    finally:
+        source.close()
