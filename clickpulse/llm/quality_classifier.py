@@ -20,8 +20,9 @@ FILTERS, WIDTH, HIDDEN = 16, 7, 12
 #: Bytes of a chunk and of its step; chunks overlap by more than a filter's width.
 CHUNK, STEP = 512, 480
 PAD = 256  # a byte value that no text has
-#: Documents and bytes of each that training draws at most, and its rounds. Scoring has no such bound.
-SAMPLE_DOCS, SAMPLE_BYTES, EPOCHS = 3_000, 8_192, 12
+#: Documents that training draws at most, the chunks of each, from its first to its last, and the rounds. Scoring
+#: has no such bound.
+SAMPLE_DOCS, SAMPLE_CHUNKS, EPOCHS = 3_000, 16, 12
 #: Chunks of a document in a training step, and documents of a step.
 DRAWN, BATCH = 3, 32
 #: Chunks whose filters run at a time.
@@ -49,9 +50,14 @@ def chunks(text: bytes) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(padded, CHUNK + WIDTH - 1)[::STEP]
 
 
+def spread(rows: np.ndarray, most: int = SAMPLE_CHUNKS) -> np.ndarray:
+    """At most so many chunks of a text, at even distances from the first to the last."""
+    return rows if len(rows) <= most else rows[np.linspace(0, len(rows) - 1, most).round().astype(int)]
+
+
 def _pooled(rows: np.ndarray, m: Model) -> tuple[np.ndarray, np.ndarray]:
     """Largest value of each filter in each chunk, and where it is."""
-    total = np.empty((len(rows), CHUNK, FILTERS), np.float32)
+    total = np.empty((len(rows), CHUNK, FILTERS), m.tables.dtype)
     step = np.empty_like(total)
     for place in range(WIDTH):
         np.take(m.tables[place], rows[:, place : place + CHUNK], axis=0, out=step if place else total, mode="clip")
@@ -111,6 +117,10 @@ def _gradients(rows: np.ndarray, doc: np.ndarray, y: np.ndarray, m: Model) -> li
 
 
 def train(texts: Sequence[bytes], labels: Sequence[int], seed: int = 0) -> Model:
+    return train_chunks([spread(chunks(t)) for t in texts], labels, seed)
+
+
+def train_chunks(cut: Sequence[np.ndarray], labels: Sequence[int], seed: int = 0) -> Model:
     """Trains by Adam steps over random chunks of each document. Without both labels the score is their share."""
     y = np.asarray(labels, np.float32)
     rng = np.random.default_rng(seed)
@@ -118,7 +128,6 @@ def train(texts: Sequence[bytes], labels: Sequence[int], seed: int = 0) -> Model
     if len(set(y.tolist())) < 2:
         model[4] = np.zeros_like(model[4])
         return Model(*model)
-    cut = [chunks(t[:SAMPLE_BYTES]) for t in texts]
     first, second = ([np.zeros(p.shape, np.float32) for p in model] for _ in range(2))
     steps = EPOCHS * -(-len(y) // BATCH)
     count = 0
@@ -142,13 +151,27 @@ def train(texts: Sequence[bytes], labels: Sequence[int], seed: int = 0) -> Model
 def train_on(
     documents: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text: str = "text", label: str = "quality"
 ) -> Model:
-    """Trains on at most ``SAMPLE_DOCS`` labelled documents for which ``usable`` (of the id) holds, by a hash of the id."""
-    known = labels.where(F.col(label).isin(0, 1) & usable).groupBy(id_col).agg(F.max(label).alias("y"))
+    """Trains on at most ``SAMPLE_DOCS`` labelled documents for which ``usable`` (of the id) holds, by a hash of the id.
+
+    Tasks cut the whole texts; the driver gets ``SAMPLE_CHUNKS`` chunks of each at most.
+    """
+    known = labels.where(F.col(label).isin(0, 1) & usable).groupBy(id_col).agg(F.max(label).cast("int").alias("y"))
     order = F.xxhash64(id_col)
-    chosen = F.broadcast(known.orderBy(order).limit(SAMPLE_DOCS))  # at most SAMPLE_DOCS rows
-    texts = documents.select(id_col, F.coalesce(F.substring(text, 1, SAMPLE_BYTES), F.lit("")).alias("t"))
-    rows = texts.join(chosen, id_col).dropDuplicates([id_col]).orderBy(order).select("t", "y").collect()
-    return train([r["t"].encode() for r in rows], [r["y"] for r in rows])
+    chosen = F.broadcast(known.orderBy(order, id_col).limit(SAMPLE_DOCS))  # at most SAMPLE_DOCS rows
+    texts = documents.select(id_col, F.coalesce(text, F.lit("")).alias("t")).join(chosen, id_col)
+    # of several texts with one id always the same
+    one = texts.groupBy(id_col).agg(F.min(F.struct(F.xxhash64("t").alias("h"), "t")).alias("s"), F.max("y").alias("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = [spread(chunks(t)).tobytes() for t in batch.column(0).cast(pa.binary()).to_pylist()]
+            columns = [pa.array(data, pa.binary()), batch.column(1), batch.column(2)]
+            yield pa.RecordBatch.from_arrays(columns, names=["chunks", "y", "h"])
+
+    drawn = one.select("s.t", "y", order.alias("h")).mapInArrow(run, "chunks binary, y int, h bigint").collect()
+    drawn.sort(key=lambda r: (r["h"], r["chunks"]))
+    width = CHUNK + WIDTH - 1
+    return train_chunks([np.frombuffer(r["chunks"], np.int16).reshape(-1, width) for r in drawn], [r["y"] for r in drawn])
 
 
 def score(documents: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -25,8 +25,9 @@ WINDOW, STEP, LONGEST_WORD = 4, 3, 64
 ORDINARY_BYTES, TOXIC_BYTES = 65_536, 2_048
 #: Lengths and number of the characteristic strings that the toxic dictionary gets.
 SUBSTRINGS, STRINGS = range(4, 11), 40
-#: Documents, and characters of each, that training draws at most. Scoring has no such bound.
-SAMPLE_DOCS, SAMPLE_CHARS = 4_000, 8_000
+#: Documents that training draws at most, the characters of each in pieces at even distances from its first to its last
+#: one, and the windows of each, drawn alike, that the ordinary dictionary is trained on. Scoring has no such bound.
+SAMPLE_DOCS, SAMPLE_CHARS, PIECES, SAMPLE_WINDOWS = 4_000, 8_000, 16, 80
 THRESHOLDS = (1, 2, 3, 4, 6)
 DOCS = 256
 
@@ -120,12 +121,26 @@ def characteristic(toxic: Sequence[str], ordinary: Sequence[str], most: int = ST
     return chosen[::-1]
 
 
+def _spread(found: list[bytes], most: int) -> list[bytes]:
+    """At most so many, at even distances from the first to the last."""
+    return found if len(found) <= most else [found[round(k * (len(found) - 1) / (most - 1))] for k in range(most)]
+
+
+def drawn(text: str) -> Column:
+    """A whole text of ``SAMPLE_CHARS`` characters at most, else ``PIECES`` pieces with as many, from the first to the last."""
+    size = SAMPLE_CHARS // PIECES
+    spare = F.char_length(text) - size
+    starts = [F.floor(spare * k / (PIECES - 1)).cast("int") + 1 for k in range(PIECES)]
+    pieces = F.concat_ws(" ", *(F.substr(F.col(text), start, F.lit(size)) for start in starts))
+    return F.when(F.char_length(text) <= SAMPLE_CHARS, F.col(text)).otherwise(pieces)
+
+
 def train_dictionaries(texts: Sequence[str], labels: Sequence[int]) -> tuple[bytes, bytes]:
     toxic = [t for t, y in zip(texts, labels) if y == 1]
     ordinary = [t for t, y in zip(texts, labels) if y == 0]
     parts = [p.encode() for p in characteristic(toxic, ordinary)]
     content = b"".join(b" " + p.lstrip() for p in parts) or b"".join(w for t in toxic for w in windows(t))
-    seen = {w: None for t in ordinary for w in list(windows(t))[:80]}  # copies once, in order
+    seen = {w: None for t in ordinary for w in _spread(list(windows(t)), SAMPLE_WINDOWS)}  # copies once, in order
     samples = [w for w in seen if not any(p in w for p in parts)]
     try:
         plain = zstandard.train_dictionary(ORDINARY_BYTES, samples, k=64, d=6).as_bytes()
@@ -174,15 +189,17 @@ def train_on(
     """Trains on at most ``SAMPLE_DOCS`` labelled documents for which ``usable`` (of the id) holds.
 
     Each label gets up to half of the bound, by a hash of the id; the calibration gives them back their
-    true shares. Training sees the first ``SAMPLE_CHARS`` characters of each document.
+    true shares. Training sees ``SAMPLE_CHARS`` characters of a document, from all over it.
     """
     known = labels.where(F.col(label).isin(0, 1) & usable).groupBy(id_col).agg(F.max(label).alias("y"))
     total = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     order = F.xxhash64(id_col)
-    drawn = [known.where(F.col("y") == y).orderBy(order).limit(SAMPLE_DOCS // 2) for y in (0, 1)]
-    chosen = F.broadcast(drawn[0].unionByName(drawn[1]))  # at most SAMPLE_DOCS rows
-    texts = documents.select(id_col, F.coalesce(F.substring(text, 1, SAMPLE_CHARS), F.lit("")).alias("t"))
-    rows = texts.join(chosen, id_col).dropDuplicates([id_col]).orderBy(order).select("t", "y").collect()
+    halves = [known.where(F.col("y") == y).orderBy(order, id_col).limit(SAMPLE_DOCS // 2) for y in (0, 1)]
+    chosen = F.broadcast(halves[0].unionByName(halves[1]))  # at most SAMPLE_DOCS rows
+    texts = documents.select(id_col, F.coalesce(drawn(text), F.lit("")).alias("t")).join(chosen, id_col)
+    # of several texts with one id always the same
+    one = texts.groupBy(id_col).agg(F.min(F.struct(F.xxhash64("t").alias("h"), "t")).alias("s"), F.max("y").alias("y"))
+    rows = one.orderBy(order, id_col).select("s.t", "y").collect()
     ones = total.get(1, 0) / max(1, sum(total.values()))
     return train([r["t"] for r in rows], [r["y"] for r in rows], ones or None)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
@@ -64,6 +65,48 @@ def test_training_on_little_or_one_sided_data(spark, labels):
     assert all(0 < r["score"] < 1 for r in rows)
 
 
+def test_scores_equal_plain_lengths(trained):
+    """Each window compressed on its own with a fresh compressor, features and logistic by hand."""
+    model, texts, _ = trained
+    half = len(model.ordinary) // 2
+    both = model.ordinary[:half] + model.toxic + model.ordinary[half:]
+    for text in [*texts[:12], "", None]:
+        words = (text or "").lower().encode().split()
+        found = [b" " + b" ".join(words[i : i + 4]) for i in range(0, max(1, len(words) - 1) if words else 0, 3)]
+        gains = [len(toxicity.compressor(model.ordinary).compress(w)) - len(toxicity.compressor(both).compress(w)) for w in found]
+        over = [sum(g >= t for g in gains) for t in (1, 2, 3, 4, 6)]
+        x = [min(max([0, *gains]), 12) / 4, *(math.log1p(n) for n in over), *(20 * n / (len(gains) + 10) for n in over)]
+        want = 1 / (1 + math.exp(-(model.bias + sum(a * b for a, b in zip(model.weights, x)))))
+        got = toxicity._raw_scores([text], model, toxicity.Gains(model.ordinary, model.toxic))[0]
+        assert got == pytest.approx(want, rel=1e-9)
+
+
+def test_training_sees_passages_at_the_end_of_long_documents(spark):
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choices("ba ke li mo nu ra sti tho vel wen".split(), k=rnd.randrange(1, 5)))
+    docs = []
+    for i in range(240):
+        words = [word() for _ in range(2500)]
+        if i % 4 == 0:
+            words[-12:] = [rnd.choice(["frumpish", "zquagg", "dorkifix", word()]) for _ in range(12)]
+        docs.append((i, " ".join(words), int(i % 4 == 0)))
+    assert min(len(t) for _, t, _ in docs) > 12_000
+    frame = spark.createDataFrame(docs, "doc_id long, text string, toxic int")
+    model = toxicity.train_on(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), F.col("doc_id") < 180)
+    assert b"zquagg" in model.toxic and b"frumpis" in model.toxic
+    kept = spark.createDataFrame([(1, "x" * 7999 + "é"), (2, "".join(map(chr, range(40_000, 50_000))))], "doc_id long, text string")
+    whole, cut = (r["t"] for r in kept.select(toxicity.drawn("text").alias("t")).collect())
+    assert len(whole) == 8000 and len(cut) == 8000 + 15
+    assert cut[0] == chr(40_000) and cut[-1] == chr(49_999)
+
+
+def test_repeated_ids_give_the_same_model(spark):
+    rows = [(i % 40, f"text {i} of words {'zquagg ' * (i % 2)}" * 3) for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    assert toxicity.train_on(docs, labels, F.lit(True)) == toxicity.train_on(docs.orderBy(F.desc("text")), labels, F.lit(True))
+
+
 def test_null_and_repeated_labels(spark):
     docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, None), (None, "c")], "doc_id long, text string, ".rstrip(", "))
     labels = spark.createDataFrame([(1, 0), (1, 0), (2, None), (None, 1), (9, 1)], "doc_id long, toxic int")
