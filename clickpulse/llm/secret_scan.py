@@ -3,7 +3,8 @@
 A pattern's matches come from ``regexp_extract_all`` and their places from ``split`` by the same
 pattern: the gaps before the matches and the matches themselves add up to offsets. The entropy test
 slides a window over each candidate string and keeps the sum of c * log2(c) over the window's
-character counts; a step changes it by the counts of the two characters that enter and leave.
+character counts; a step changes it by the counts of the two characters that enter and leave. Secret windows
+that touch are one span.
 """
 
 from __future__ import annotations
@@ -36,10 +37,18 @@ class CharacterClass(NamedTuple):
     bits: float
 
 
+#: Words give windows of mixed letters and digits too, but hold longer runs of letters, fewer digits, or all of them
+#: in one place. The bits are what nearly all random keys reach in a window and such names don't.
 CLASSES = (
     CharacterClass("hex", r"^[0-9A-Fa-f]+$", r"[0-9].*[A-Fa-f]|[A-Fa-f].*[0-9]", 20, 2.9),
-    CharacterClass("base64", r"^[A-Za-z0-9+/_=-]+$", r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])", 20, 3.6),
-    CharacterClass("lower", r"^[a-z0-9]+$", r"^(?=.*[0-9].*[0-9])(?=.*[a-z].*[a-z])", 20, 3.5),
+    CharacterClass(
+        "base64",
+        r"^[A-Za-z0-9+/_=-]+$",
+        r"^(?=.*[A-Z])(?=.*[a-z])(?=.*[0-9][^0-9].*[0-9])(?!.*[a-z]{6})(?!.*[A-Z]{6})",
+        20,
+        3.8,
+    ),
+    CharacterClass("lower", r"^[a-z0-9]+$", r"^(?=(?:.*[0-9]){4})(?=.*[0-9][a-z].*[0-9][a-z])(?!.*[a-z]{8})", 20, 3.7),
 )
 _WORD, _UUID = r"example|sample|placeholder|your[_-]?key", r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}"
 #: Where a stand-in for a secret starts, or a part of a UUID, which is longer than a window.
@@ -160,7 +169,7 @@ def _secret_windows(segment: Column, kind: CharacterClass) -> Column:
 
 
 def _entropy_of(candidate: Column, kinds: Sequence[CharacterClass]) -> Column:
-    """From the first to the last secret window of one candidate, as (from, to); to is 0 where there is none."""
+    """Runs of secret windows of one candidate that touch or overlap, as (a, z)."""
     longest = max(k.width for k in kinds)
     parts = F.transform(
         F.sequence(F.lit(0), F.floor((F.length(candidate) - 1) / SEGMENT).cast("int")),
@@ -178,14 +187,15 @@ def _entropy_of(candidate: Column, kinds: Sequence[CharacterClass]) -> Column:
 
         return F.flatten(F.transform(parts, within))
 
-    found = F.concat(*(windows(k) for k in kinds))
-    return F.transform(
-        F.array(found),
-        lambda f: F.struct(
-            F.coalesce(F.array_min(F.transform(f, lambda x: x["a"])), F.lit(0)).alias("a"),
-            F.coalesce(F.array_max(F.transform(f, lambda x: x["z"])), F.lit(0)).alias("z"),
-        ),
-    ).getItem(0)
+    found = F.array_sort(F.concat(*(windows(k) for k in kinds)))
+
+    def grown(runs: Column, w: Column) -> Column:
+        last = F.try_element_at(runs, F.lit(-1))
+        longer = F.struct(last["a"].alias("a"), F.greatest(last["z"], w["z"]).alias("z"))
+        touches = F.coalesce(last["z"] >= w["a"], F.lit(False))
+        return F.when(touches, F.array_append(F.slice(runs, 1, F.size(runs) - 1), longer)).otherwise(F.array_append(runs, w))
+
+    return F.aggregate(found, F.array().cast("array<struct<a:int,z:int>>"), grown)
 
 
 def _entropy_spans(text: Column, kinds: Sequence[CharacterClass], allowed: Sequence[str]) -> Column:
@@ -196,10 +206,12 @@ def _entropy_spans(text: Column, kinds: Sequence[CharacterClass], allowed: Seque
         return test
 
     found = F.filter(_matches(text, CANDIDATE), lambda m: suspicious(m["hit"]))
-    placed = F.transform(found, lambda m: F.struct(m["start"].alias("start"), _entropy_of(m["hit"], kinds).alias("w")))
-    spans = F.transform(
-        F.filter(placed, lambda x: x["w"]["z"] > 0),
-        lambda x: _span("entropy", x["start"] + x["w"]["a"], x["start"] + x["w"]["z"]),
+    placed = F.transform(found, lambda m: F.struct(m["start"].alias("start"), _entropy_of(m["hit"], kinds).alias("runs")))
+    spans = F.flatten(
+        F.transform(
+            placed,
+            lambda x: F.transform(x["runs"], lambda w: _span("entropy", x["start"] + w["a"], x["start"] + w["z"])),
+        )
     )
     return F.when(text.rlike(CANDIDATE), spans).otherwise(_none())
 

@@ -34,8 +34,13 @@ def plain(text):
                 h = math.log2(w) - sum(c * math.log2(c) for c in Counter(part).values()) / w
                 if h >= kind.bits - 1e-9 and re.search(kind.only, part) and re.search(kind.having, part):
                     found.append((i, i + w))
-        if found:
-            out.append((m.start() + min(a for a, _ in found), 3, m.start() + max(z for _, z in found)))
+        runs = []
+        for a, z in sorted(found):
+            if runs and runs[-1][1] >= a:
+                runs[-1][1] = max(runs[-1][1], z)
+            else:
+                runs.append([a, z])
+        out += [(m.start() + a, 3, m.start() + z) for a, z in runs]
     return sorted(out)
 
 
@@ -58,6 +63,7 @@ TEXTS = [
     "EXAMPLEaB3dE5fG7hI9jK1lM3nO5pQ7",
     "0f" * 300 + " " + "aB3dE5fG7hI9jK1lM3nO5pQ7" * 40,
     "ſecret=abcdefgh toKen=abcdefgh",
+    "/first/path/of/plain/words/without/end/" * 4 + "aB3dE5fG7hI9jK1lM3nO5pQ7/then/more/plain/words/k7X2m9Qp4wZ8rT5vY3nB6jC1",
     "token=abcdefg " * 300,
 ]
 
@@ -84,6 +90,42 @@ def test_a_stand_in_beside_a_secret_hides_nothing_else(spark):
     assert not any(key in r[0] for r in ss.redact(df).collect())
 
 
+NAMES = [
+    "getUserProfileById2AndReturnValue", "Report_2024_Final_Version_Draft", "fix-issue-1234-in-Module-Parser",
+    "News2024/ArticleTitleAboutCats", "release20241231version", "https/Www2/Content/Themes2/Default/Index3", "IMG_20240131_Holiday_Sunset01",
+    "/usr/local/lib/python3.13/site-packages/Numpy2", "abstractSingletonProxyFactoryBean2x", "step1-Then-step2-Then-step3-Done",
+]
+
+
+def test_names_of_ordinary_words_are_no_secrets(spark):
+    assert not any(scanned(spark, NAMES).values())
+
+
+def test_random_keys_are_found(spark):
+    import random
+    import string
+
+    rng = random.Random(4)
+    kinds = {
+        "base64": (string.ascii_letters + string.digits + "+/", 32, 0.85),
+        "urlsafe": (string.ascii_letters + string.digits + "-_", 40, 0.85),
+        "alphanumeric": (string.ascii_letters + string.digits, 24, 0.65),
+        "lower": (string.ascii_lowercase + string.digits, 32, 0.7),
+        "hex": ("0123456789abcdef", 23, 0.97),
+    }
+    for name, (letters, size, least) in kinds.items():
+        texts = ["see " + "".join(rng.choices(letters, k=size)) + " there" for _ in range(200)]
+        found = sum(any(k == 3 for _, k, _ in spans) for spans in scanned(spark, texts).values())
+        print(name, found)
+        assert found >= least * 200, (name, found)
+
+
+def test_a_path_with_keys_in_it_gives_a_span_for_each(spark):
+    text = "x/" + "plain/words/of/a/path/" * 12 + "aB3dE5fG7hI9jK1lM3nO5pQ7" + "/and/more/words/of/a/path/that/goes/on/" + "k7X2m9Qp4wZ8rT5vY3nB6jC1"
+    (spans,) = scanned(spark, [text]).values()
+    assert len(spans) == 2 and max(z - a for a, _, z in spans) < 60
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(alphabet="ab0fAK9=: \"'_é\n", max_size=80), min_size=20, max_size=40))
 def test_random_texts_match_a_plain_scan(spark, parts):
