@@ -97,7 +97,9 @@ def _url_filters() -> str:
       UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
     shared AS (
       SELECT a, min(own) AS verdict
-      FROM (SELECT a, {case(0)} AS own FROM (SELECT a, {host("b")} AS host, {path("b")} AS path FROM reach))
+      FROM (SELECT a, {case(0)} AS own FROM (SELECT a, {host("b")} AS host, {path("b")} AS path FROM reach)
+            UNION ALL
+            SELECT a, own FROM reach JOIN (SELECT {address} AS address, own FROM judged WHERE url LIKE '%://%') ON b = address)
       GROUP BY a)
     SELECT page_id, host, path, rule, coalesce(own, s.verdict, 'allow') AS verdict
     FROM (SELECT *, CASE WHEN url LIKE '%://%' THEN {address} END AS address FROM judged) j

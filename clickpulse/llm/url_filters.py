@@ -151,7 +151,8 @@ def judge(
 ) -> DataFrame:
     """Adds ``host``, ``path``, ``rule`` and ``verdict`` to each row of ``pages``.
 
-    ``redirects`` may bring further ``source, target`` pairs, such as a crawler's. A null url, or one
+    A page without a rule gets the verdict of its component: allow if a rule allows any of its addresses or
+    pages, else block if one blocks. ``redirects`` may bring further ``source, target`` pairs, such as a crawler's. A null url, or one
     without ``://``, has no host, no rule and no alias, and gets the default. Repeated rows stay
     repeated; columns of ``pages`` that are called like an added one are replaced.
     """
@@ -167,17 +168,24 @@ def judge(
         return rows.withColumn("verdict", F.coalesce("__own", F.lit(default))).drop("__own")
     edges = links[0] if len(links) == 1 else links[0].unionByName(links[1]).distinct()
     edges = written(edges, "aliases")
-    ids = written(_verdicts(edges, rules), "alias-verdicts")
+    judged = rows.where("__own IS NOT NULL").select(address(F.col(url)).alias("__alias"), "__own")
+    ids = written(_verdicts(edges, rules, judged), "alias-verdicts")
     found = rows.withColumn("__address", F.when(F.col("__own").isNull(), address(F.col(url))))
     found = found.join(ids, found["__address"] == ids["__alias"], "left")
     verdict = F.coalesce("__own", "__shared", F.lit(default))
     return found.withColumn("verdict", verdict).drop("__own", "__address", "__alias", "__shared")
 
 
-def _verdicts(edges: DataFrame, rules: Sequence[UrlRule]) -> DataFrame:
-    """``__alias, __shared``: the verdict that each linked address gets from its component."""
+def _verdicts(edges: DataFrame, rules: Sequence[UrlRule], judged: DataFrame) -> DataFrame:
+    """``__alias, __shared``: the verdict that each linked address gets from its component.
+
+    The rules see the addresses of a component, and the paths of its pages as they are given: ``judged`` has
+    the pages' own verdicts. Only those of linked addresses matter, one of each kind for an address.
+    """
     names = connected_components(edges, "source", "target").withColumnRenamed("id", "__alias")
     own = rule_of(host_of(F.col("__alias")), path_of(F.col("__alias")), rules)["verdict"]
-    names = names.withColumn("__own", own)
-    shared = names.where("__own IS NOT NULL").groupBy("component").agg(F.min("__own").alias("__shared"))
+    by_address = names.select("component", own.alias("__own"))
+    by_page = judged.join(names, "__alias").groupBy("__alias", "component", "__own").count().select("component", "__own")
+    every = by_address.unionByName(by_page).where("__own IS NOT NULL")
+    shared = every.groupBy("component").agg(F.min("__own").alias("__shared"))  # allow comes before block
     return names.join(shared, "component").select("__alias", "__shared")

@@ -77,6 +77,27 @@ def test_relative_targets_reach_a_block(spark):
     assert {i for i, verdict in got.items() if verdict == "block"} == set(range(1, 13))
 
 
+def test_an_allowed_page_allows_its_component(spark):
+    """The page's path as given is allowed; without its dots it would be blocked, as its aliases are by themselves."""
+    pages = [
+        (1, "https://a.example.com/x/../en/p2", link("http://m.example.org/p")),
+        (2, "http://m.example.org/p", ""),
+        (3, "http://m.example.org/q", link("http://m.example.org/p")),
+        (4, "http://n.example.org/p", link("http://b.example.com/en/p")),
+        (5, "http://n.example.org/x/../p", ""),
+    ]
+    got = {r[0]: r[1:] for r in judged(spark, pages)}
+    assert got[1] == ("com/", "allow")
+    assert got[2] == got[3] == (None, "allow")
+    assert got[4] == got[5] == (None, "block")
+
+
+def test_very_long_urls(spark):
+    long = "http://l.example.org/" + "a/../" * 8_000 + "x"
+    pages = [(1, long, link("http://b.example.com/en/p")), (2, "http://l.example.org/x", ""), (3, "http://y.example.org/" + "q" * 60_000, "")]
+    assert [r[2] for r in sorted(judged(spark, pages))] == ["block", "block", "allow"]
+
+
 def test_addresses(spark):
     forms = {
         "http://h/a/../../../b": "http://h/b",
