@@ -2,8 +2,9 @@
 
 The dimensions are cut into two halves, each with a code of unit directions made of random rotations.
 A filter is a pair of codewords, one per half. A vector falls into every filter whose direction scores
-within ``margin`` of its best one; the list of those is decoded from the two halves' scores, never by
+within a margin of its best one; the list of those is decoded from the two halves' scores, never by
 scoring all filters. Near vectors share a filter; the vectors of a filter are compared in double precision.
+Margin and size of the code follow from the cosine, the dimension and the number of vectors.
 """
 
 from __future__ import annotations
@@ -20,9 +21,12 @@ from clickpulse.llm.blocks import compare, forest, pieces, shuffle_parts
 from clickpulse.llm.shared import connected_components, written
 
 COSINE = 0.98
-#: How far below a vector's best score its other filters may be. Pairs at cosine 0.98 then shared a
-#: filter in all of 3,000 trials; wider finds more distant pairs and costs more rows.
-MARGIN = 0.05
+#: How many standard deviations of the difference of two scores the margin allows for. Pairs at the cosine exactly then
+#: shared a filter in all of 400 trials for each of 11 dimensions from 1 to 1,536 and cosines of 0.9, 0.95, 0.98 and
+#: 0.99; more finds more distant pairs and costs more rows.
+DEVIATIONS = 1.5
+#: Filters of a vector on average, at most; a code with more gets fewer codewords, so larger caps.
+LIST = 100
 SEED = 7
 #: Rows of scores that a task holds at a time.
 STEP = 512
@@ -33,18 +37,42 @@ def codewords(n: int) -> int:
     return 1 << min(13, max(5, math.ceil(math.log2(math.sqrt(32 * max(n, 1))))))
 
 
+def margin_of(dim: int, words: int, cosine: float) -> float:
+    """How far below its best score a vector's other filters may be.
+
+    A vector at the cosine loses a share of the best score, which is that of the largest of so many directions, and
+    its score there differs by a normal amount that shrinks with the root of the dimension.
+    """
+    best = min(1.0, math.sqrt(2 * math.log(max(2, words ** (2 if dim >= 4 else 1))) / dim))
+    return best * (1 - cosine) + DEVIATIONS * math.sqrt(max(0.0, 1 - cosine * cosine)) / math.sqrt(dim)
+
+
+def planned(dim: int, n: int, cosine: float) -> tuple[int, float]:
+    """Codewords of each half and the margin for n vectors, with lists of ``LIST`` filters on average at most."""
+    words = codewords(n)
+    probe = unit_rows(np.random.default_rng((SEED, dim, 1)).standard_normal((64, dim)).tolist())
+    while True:
+        margin = margin_of(dim, words, cosine)
+        if words <= 4 or np.mean([len(f) for f in list_decode(probe, product_code(dim, words), margin)]) <= LIST:
+            return words, margin
+        words //= 2
+
+
 def product_code(dim: int, words: int, seed: int = SEED) -> list[np.ndarray]:
     """For each half of the dimensions: a matrix whose columns are unit directions, from random rotations."""
     rng = np.random.default_rng((seed, dim))
     code = []
     for part in np.array_split(np.arange(dim), 2 if dim >= 4 else 1):
         w = len(part)
+        if w == 1:  # there are two directions only
+            code.append(np.array([[1.0, -1.0]]))
+            continue
         turns = [np.linalg.qr(rng.standard_normal((w, w)))[0] for _ in range(-(-words // w))]
         code.append(np.concatenate(turns, axis=1)[:, :words])
     return code
 
 
-def list_decode(unit: np.ndarray, code: list[np.ndarray], margin: float = MARGIN) -> list[np.ndarray]:
+def list_decode(unit: np.ndarray, code: list[np.ndarray], margin: float) -> list[np.ndarray]:
     """The numbers of all filters that score within ``margin`` of the best, rising, for each row of ``unit``."""
     out, reach, words = [], margin * math.sqrt(len(code)), code[0].shape[1]
     cuts = np.cumsum([c.shape[0] for c in code])[:-1]
@@ -67,11 +95,12 @@ def unit_rows(vectors: list) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _coded(classes: DataFrame, words: int, margin: float) -> DataFrame:
+def _coded(classes: DataFrame, plans: dict[int, tuple[int, float]]) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes: dict[int, list[np.ndarray]] = {}
         for frame in batches:
             for dim, rows in frame.groupby("dim"):
+                words, margin = plans[int(dim)]
                 if dim not in codes:
                     codes[dim] = product_code(int(dim), words)
                 unit = unit_rows(rows["embedding"].tolist())
@@ -82,6 +111,22 @@ def _coded(classes: DataFrame, words: int, margin: float) -> DataFrame:
     return classes.select("key", "label", "dim", "copies", "embedding").mapInPandas(run, schema)
 
 
+def _shared(lists: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Whether two lists have a number in common, for each pair of them. So many numbers are looked at at a time."""
+    names, column, times = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(lists)), [len(f) for f in lists])
+    often = times > 1  # a number of one list only is shared by none
+    place = np.cumsum(often) - 1
+    row, column = row[often[column]], place[column[often[column]]]
+    found = np.zeros((len(lists), len(lists)), bool)
+    for first in range(0, int(often.sum()), columns):
+        own = (column >= first) & (column < first + columns)
+        member = np.zeros((len(lists), columns), np.float32)
+        member[row[own], column[own] - first] = 1
+        found |= (member @ member.T) > 0
+    return found
+
+
 def _near(cosine: float):
     def piece_links(rows: pd.DataFrame) -> pd.DataFrame | None:
         unit = np.stack(rows["unit"].to_numpy())
@@ -96,10 +141,7 @@ def _near(cosine: float):
         near = near[np.ix_(linked, linked)]
         # a link counts in the first filter that both ends share
         earlier = [np.asarray(f)[np.asarray(f) < rows["filter"].iloc[0]] for f in rows["filters"].to_numpy()[linked]]
-        names, column = np.unique(np.concatenate(earlier), return_inverse=True)
-        member = np.zeros((len(linked), len(names)), np.float32)
-        member[np.repeat(np.arange(len(linked)), [len(f) for f in earlier]), column] = 1
-        near &= (member @ member.T) == 0
+        near &= ~_shared(earlier)
         copies, key = rows["copies"].to_numpy()[linked], rows["key"].to_numpy()[linked]
         child, root = forest(*np.nonzero(near), len(linked))
         below = np.arange(len(linked))
@@ -114,12 +156,15 @@ def _near(cosine: float):
     return work
 
 
-def links(classes: DataFrame, cosine: float = COSINE, margin: float = MARGIN) -> DataFrame:
+def links(classes: DataFrame, cosine: float = COSINE) -> DataFrame:
     """``key, n, root``: for pieces of filters, what each vector links with there, and links that join the same groups.
 
-    ``classes`` is a written table of different vectors (key, label, dim, copies, embedding).
+    ``classes`` is a written table of different vectors (key, label, dim, copies, embedding). Its few lengths of vector
+    come to the driver.
     """
-    coded = written(_coded(classes, codewords(classes.count()), margin), "embedding-filters")
+    sizes = {r["dim"]: r["count"] for r in classes.groupBy("dim").count().collect()}
+    plans = {dim: planned(dim, n, cosine) for dim, n in sizes.items()}
+    coded = written(_coded(classes, plans), "embedding-filters")
     keys = ["label", "dim", "filter"]
     spread = written(coded.select("key", "label", "dim", F.explode("filters").alias("filter")), "filter-members")
     cut = pieces(spread, keys, "key").join(coded.select("key", "copies", "unit", "filters"), "key")
@@ -132,7 +177,6 @@ def near_duplicates(
     vector: str = "embedding",
     label: str = "label",
     cosine: float = COSINE,
-    margin: float = MARGIN,
 ) -> DataFrame:
     """``id_col, n_links, component_id, kept`` for each row of ``vectors``.
 
@@ -151,7 +195,7 @@ def near_duplicates(
     grouped = sound.groupBy("label", "embedding").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
     grouped = grouped.withColumn("dim", F.size("embedding")).withColumn("key", F.monotonically_increasing_id())
     classes = written(grouped, "embedding-classes")
-    found = written(links(classes, cosine, margin), "embedding-links")
+    found = written(links(classes, cosine), "embedding-links")
     counts = found.groupBy("key").agg(F.sum("n").alias("n"))
     groups = connected_components(found, "key", "root").withColumnRenamed("id", "key")
     classes = classes.join(counts, "key", "left").join(groups, "key", "left")

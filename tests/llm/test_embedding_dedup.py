@@ -77,6 +77,43 @@ def test_recall_on_the_given_table(spark):
     assert sum(links) * 0.999 <= got <= sum(links)
 
 
+@pytest.mark.parametrize("cosine", [0.9, 0.98, 0.99])
+@pytest.mark.parametrize("dim", [1, 2, 3, 4, 8, 32, 384, 1536])
+def test_pairs_at_the_cosine_share_a_filter_and_lists_stay_short(dim, cosine):
+    words, margin = embedding_dedup.planned(dim, 50_000, cosine)
+    code, rng = embedding_dedup.product_code(dim, words), np.random.default_rng(dim)
+    u, w = (rng.standard_normal((200, dim)) for _ in range(2))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    w -= (w * u).sum(axis=1, keepdims=True) * u
+    v = u if dim == 1 else cosine * u + math.sqrt(1 - cosine**2) * w / np.linalg.norm(w, axis=1, keepdims=True)
+    a, b = (embedding_dedup.list_decode(x, code, margin) for x in (u, v))
+    assert sum(np.intersect1d(x, y).size > 0 for x, y in zip(a, b)) >= 198
+    assert np.mean([len(x) for x in a]) <= 1.2 * embedding_dedup.LIST
+
+
+@pytest.mark.parametrize("columns", [1, 3, 4096])
+def test_shared_numbers(columns):
+    rng = np.random.default_rng(0)
+    lists = [np.sort(rng.choice(40, rng.integers(0, 6), replace=False)) for _ in range(30)]
+    want = [[bool(set(a) & set(b)) for b in lists] for a in lists]
+    got = embedding_dedup._shared(lists, columns)
+    np.fill_diagonal(got, False)
+    assert got.tolist() == [[w and i != j for j, w in enumerate(row)] for i, row in enumerate(want)]
+
+
+@pytest.mark.parametrize("dim, cosine", [(2, 0.98), (5, 0.95), (100, 0.9), (700, 0.98)])
+def test_links_of_other_dimensions_and_cosines(spark, dim, cosine):
+    rng, rows = np.random.default_rng(dim), []
+    for g in range(60):
+        centre = rng.standard_normal(dim)
+        rows += [(centre + rng.standard_normal(dim) * s).tolist() for s in (0, 0.05, 0.1, 0.2, 0.45)]
+    rows = [(i, [float(np.float32(x)) for x in v], 1) for i, v in enumerate(rows)]
+    links, _ = plain(rows, cosine)
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA), cosine=cosine).collect()
+    assert sum(links) > 100 and 0.99 * sum(links) <= sum(r["n_links"] for r in got) <= sum(links)
+    assert all(r["n_links"] <= links[r["vec_id"]] for r in got)
+
+
 def test_list_decoding_finds_all_exceeding_filters():
     rng = np.random.default_rng(1)
     unit = embedding_dedup.unit_rows(rng.standard_normal((20, 11)).tolist())
