@@ -193,6 +193,7 @@ def _streams() -> dict[str, str]:
     online = _slide("online", "", "TRUE", 300_000, 60_000, "COUNT(DISTINCT user_id) AS users")
     return {
         "stream_hot_word_counts": _with(_closed(" SELECT word, window_end, n FROM hot"), _hot(*_30S)),
+        "stream_hot_search_chained": _with(_closed(_TOP_OUT), _hot(*_3H), _TOP),
         "stream_online_users": _with(_closed(" SELECT window_end, users FROM online"), online),
         "stream_session_windows": _session_windows_closed(WIDE_GAP_MS),
         "stream_sessionize": f"{_sessionize(300_000)} WHERE ts < {_BOUND}",

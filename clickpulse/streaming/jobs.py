@@ -60,6 +60,11 @@ def hot_words(raw: DataFrame, size: str = HOT_WINDOW, slide: str = HOT_SLIDE) ->
     return windows.hot_word_counts(_all_records(raw, ["behavior", "searchTerm"]), size, slide)
 
 
+def hot_top(raw: DataFrame, n: int = HOT_TOP_N, size: str = HOT_WINDOW, slide: str = HOT_SLIDE) -> DataFrame:
+    """Ranked terms of each closed window, in one query that any sink takes."""
+    return keyed.topn_stream(hot_words(raw, size, slide), n)
+
+
 def monitored(raw: DataFrame, seconds: int = MONITOR_INTERVAL_S) -> DataFrame:
     return monitor.monitor_intervals(raw.withWatermark("timestamp", LATENESS), seconds)
 
@@ -293,6 +298,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "stream_gmv_tumbling": _drain(gmv),
         "stream_hot_search_topn": _drain(hot_words, lambda write, _: ranked(write), lambda rows: _ranked_shape(rows)),
+        "stream_hot_search_chained": _drain(lambda raw: hot_top(raw, size="3 hours", slide="1 hour")),
         "stream_olap_rows": _drain(parse.olap_rows),
         "stream_dwd_rows": _drain(parse.archive_rows),
         "stream_monitor_intervals": _drain(lambda raw: monitored(raw, 3600)),

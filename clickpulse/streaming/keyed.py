@@ -111,3 +111,39 @@ def sessionize_stream(
         F.lit(None).cast("bigint").alias("session_no"),
     )
     return numbered.unionByName(nobody)
+
+
+class Largest(StatefulProcessor):
+    """The ``n`` largest counts of a window. All counts of a closed window come in one micro-batch, so they leave at
+    once and no state stays; while a group is read, ``n`` rows of it are held."""
+
+    def __init__(self, n: int, ranked: bool) -> None:
+        self.n, self.ranked = n, ranked
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        best = None
+        for frame in rows:
+            both = frame[["word", "n"]] if best is None else pd.concat([best, frame[["word", "n"]]])
+            best = both.sort_values(["n", "word"], ascending=[False, True]).head(self.n)
+        out = pd.DataFrame({"window_end": key[0], "word": best["word"].to_numpy(), "n": best["n"].to_numpy()})
+        if self.ranked:
+            out.insert(1, "rank", range(1, len(out) + 1))
+        yield out
+
+    def close(self) -> None:
+        pass
+
+
+def topn_stream(counts: DataFrame, n: int, *, salts: int = 8) -> DataFrame:
+    """``window_end, rank, word, n`` as :func:`clickpulse.operators.ranking.hot_search_topn` gives them, on a stream of
+    window counts: one chained query without a writer that ranks. A window's words are cut in ``salts`` groups
+    first, of which ``n`` rows each go on."""
+    columns = "window_end bigint, word string, n bigint"
+    salt = F.pmod(F.xxhash64("word"), F.lit(salts)).alias("salt")
+    options = {"outputMode": "Append", "timeMode": "None"}
+    some = counts.select("*", salt).groupBy("window_end", "salt").transformWithStateInPandas(Largest(n, False), columns, **options)
+    ranked = "window_end bigint, rank int, word string, n bigint"
+    return some.groupBy("window_end").transformWithStateInPandas(Largest(n, True), ranked, **options)

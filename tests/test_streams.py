@@ -398,3 +398,11 @@ def test_numbered_sessions_go_on_after_a_restart_and_keep_no_passed_rows(spark,
     assert got == {"e0": 1, "e1": 1, "e2": 2, "e3": 3, "e4": 3, "e5": 4}
     # what stays: one row for U1, and the waiting row, its timer and key of the sentinel's user
     assert sum(o["numRowsTotal"] for o in progress["stateOperators"]) <= 6
+
+
+def test_chained_top_n_equals_the_ranked_batch(spark, history, tmp_path):
+    folder = write_files(tmp_path / "in", [*chunks(history), sentinel("search")])
+    out, like = drain(spark, folder, lambda raw: jobs.hot_top(raw, 3, "12 hours", "6 hours"), tmp_path)
+    counts = windows.hot_word_counts(parse.parse_behavior(batch(spark, history)), "12 hours", "6 hours")
+    want = ranking.hot_search_topn(counts, 3)
+    assert same(sinks.read_files(spark, out, like), want) and want.count() > 100
