@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpulse.operators import archive, enrich, monitor, parse, profile, ranking, search, sessions, stored_index, windows
+from clickpulse.plans import streams, tables
 from clickpulse.session import checkpoint_root
-from clickpulse.sources import catalog, tables
-from clickpulse.streaming import jobs
+from clickpulse.sources import catalog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -205,4 +205,4 @@ BATCH: dict[str, Query] = {
 
 
 def all_queries() -> dict[str, Query]:
-    return {**BATCH, **jobs.registered()}
+    return {**BATCH, **streams.registered()}

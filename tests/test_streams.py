@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from clickpulse.operators import parse, ranking, sessions, windows
+from clickpulse.plans import tables
 from clickpulse.schema import RAW_SCHEMA
 from clickpulse.session import checkpoint_root
-from clickpulse.sources import catalog, endpoints, records as record_sources, tables
+from clickpulse.sources import catalog, endpoints, records as record_sources
 from clickpulse.streaming import jobs, sinks
 
 NOW = {"availableNow": True}
