@@ -56,7 +56,9 @@ def _window_hashes(words: Column) -> Column:
 def _repeated_words(hashes: Column) -> Column:
     """Words that lie in a window of five which occurs twice or more in the text.
 
-    Most texts repeat none, which a distinct count of the windows' 64-bit hashes shows. For the
+    Windows count as equal if their 64-bit hashes are; the words aren't looked at again, so two different
+    windows of one text are taken for equal once in some 2 ** 64 pairs of windows. Most texts repeat
+    none, which a distinct count of the hashes shows. For the
     others the hashes are sorted, so that equal ones are neighbours; no pairs are made.
     """
     order = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))

@@ -166,7 +166,8 @@ def _fit(x: np.ndarray, y: np.ndarray, mass: np.ndarray) -> np.ndarray:
 def train(texts: Sequence[str], labels: Sequence[int], ones: float | None = None) -> Model:
     """Dictionaries from two thirds of the documents, calibration on the others, which they haven't seen.
 
-    ``ones`` is the share of label 1 where it differs from the sample's: rows are weighted to it. Without both labels among the documents the score is the share of label 1, for every text.
+    ``ones`` is the share of label 1 where it differs from the sample's: rows are weighted to it. Without both
+    labels among the documents the score is the share of label 1, for every text.
     """
     labels = np.asarray(labels, dtype=float)
     third = np.arange(len(texts)) % 3 == 0

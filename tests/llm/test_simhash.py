@@ -52,6 +52,12 @@ def corpus(seed=1, n=120):
     return texts
 
 
+def test_a_bit_of_exactly_half_the_shingles_is_zero():
+    a, b = (xxhash.xxh64_intdigest(g, 42) for g in (b"a b c", b"b c d"))
+    assert simhash.fingerprint(b"a b c d") & (1 << 64) - 1 == a & b
+    assert simhash.fingerprint(b"a b c a b c") & (1 << 64) - 1 == plain_fingerprint("a b c a b c")  # a shingle twice of four
+
+
 def test_fingerprint_matches_its_definition():
     for text in [*corpus(), "x " * 70000]:
         want = plain_fingerprint(text)
