@@ -25,8 +25,9 @@ _DOUBLE = ("  ", "\n\n", " \n", "\n ")
 #: A word of Latin letters and the signs behind it.
 _SIGNS = r"^(?P<word>\n?[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<signs>[!-@\[-`{-~](?s:.*))$"
 _RAW = "\r"
-#: Pieces remembered, and the most bytes of one. Both bound a task's memory, not what is encoded.
-REMEMBERED, LONGEST = 1_500_000, 64
+#: Pieces remembered, the most bytes of one, and the bytes of all from which longer ones go. They bound a task's
+#: memory, not what is encoded.
+REMEMBERED, LONGEST, BYTES = 1_500_000, 64, 1 << 27
 #: Pieces and characters that are cut at a time.
 STEP, CHARS = 200_000, 6_000_000
 #: Pieces that the library gets as one text.
@@ -106,12 +107,13 @@ class Store:
         return gathered(self.ids, self.starts, self.sizes, codes)
 
     def trim(self) -> None:
-        """Forgets long pieces, and when there are too many, all but those used last."""
+        """Forgets long pieces when there is too much, and when there are too many others, all but those used last."""
         most = self._size or REMEMBERED
-        if len(self._keys) <= most:
+        if len(self._keys) <= most and self._keys.nbytes <= BYTES:
             return
-        short = np.flatnonzero(pc.binary_length(self._keys).to_numpy() <= LONGEST)
-        keep = np.sort(short[np.argsort(-self._used[short], kind="stable")[: most // 2]])
+        keep = np.flatnonzero(pc.binary_length(self._keys).to_numpy() <= LONGEST)
+        if len(keep) > most:
+            keep = np.sort(keep[np.argsort(-self._used[keep], kind="stable")[: most // 2]])
         self.ids, ends = self.gather(keep)
         self._keys, self._used, self.sizes = self._keys.take(pa.array(keep)), self._used[keep], self.sizes[keep]
         self.starts = ends - self.sizes

@@ -57,6 +57,18 @@ def test_any_text_gives_the_ids_of_the_library(model, texts):
     assert got == [ids_of(model, t) for t in texts]
 
 
+def test_long_pieces_are_not_kept(model, monkeypatch):
+    monkeypatch.setattr(tokens, "BYTES", 10_000)
+    encoder = tokens.PieceEncoder(tokens.library_encode(PATH, specials=True))
+    texts = [f"{chr(97 + i % 26) * 3000}{i} word{i % 7}, and" for i in range(60)]
+    for _ in range(2):
+        for text in texts:
+            (got,) = encoder.encode([text])
+            assert np.frombuffer(got, "<u4").tolist() == ids_of(model, text)
+            assert encoder.store._keys.nbytes <= 10_000
+    assert len(encoder.store._keys) > 7
+
+
 def check(rows, pairs, model, end=2):
     start = 0
     assert len(rows) == len(pairs)
