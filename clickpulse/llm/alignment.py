@@ -25,7 +25,9 @@ from clickpulse.llm.shared import most_frequent, written
 from clickpulse.llm.tokens import Store, as_key, library_encode, piece_of, plain, words_of
 
 #: Characters encoded, and tokens of both sides aligned, at a time; a longer text is a batch of its own.
-ENCODED, ALIGNED = 6_000_000, 1_000_000
+ENCODED, ALIGNED = 2_000_000, 400_000
+#: Documents taken from a batch at a time.
+DOCS = 1_024
 #: Pairs that occur in most documents, whose counts every task gets. The counts of all others are joined.
 FREQUENT = 200_000
 #: Marks the second side's ids, and a piece whose bytes a side doesn't give back.
@@ -261,7 +263,7 @@ def align(documents: DataFrame, byte_path: str, piece_path: str, id_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides, row = encoders(byte_path, piece_path), TaskContext.get().partitionId() << 40
         names = ["row", id_col, "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times"]
-        for batch in batches:
+        for batch in (b.slice(at, DOCS) for b in batches for at in range(0, b.num_rows, DOCS)):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for first, last in _parts([len(t) for t in texts], ENCODED):
                 coded = sides.encode(texts[first:last])
@@ -269,6 +271,7 @@ def align(documents: DataFrame, byte_path: str, piece_path: str, id_col: str = "
                     rows, ids = pa.array(np.arange(row, row + z - a), pa.int64()), batch.column(0).slice(first + a, z - a)
                     yield pa.RecordBatch.from_arrays([rows, ids, *_aligned(coded[a:z], sides)], names=names)
                     row += z - a
+                pa.default_memory_pool().release_unused()
 
     kind = documents.schema[id_col].dataType.simpleString()
     return documents.select(id_col, text).mapInArrow(run, SCHEMA.format(id_col, kind))
