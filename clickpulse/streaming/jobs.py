@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickpulse.operators import enrich, monitor, parse, profile, ranking, sessions, windows
 from clickpulse.schema import GMV_WINDOW, HOT_SLIDE, HOT_TOP_N, HOT_WINDOW, MONITOR_INTERVAL_S, SESSION_GAP_MS
+from clickpulse.session import DEFAULT_STORE, SETTINGS, STATE_STORE
 from clickpulse.streaming import kept, keyed, sinks
 
 LATENESS = "5 seconds"
@@ -32,11 +33,24 @@ MONITOR_TRIGGER = {"processingTime": "2 seconds"}
 def start(
     rows: DataFrame, write: sinks.BatchWriter, checkpoint: str, trigger: dict | None = None, name: str | None = None
 ) -> StreamingQuery:
-    """Starts an append-mode query that hands each micro-batch to ``write``."""
+    """Starts an append-mode query that hands each micro-batch to ``write``.
+
+    In a session that keeps Spark's default state store the query takes the one of
+    :data:`clickpulse.session.SETTINGS`: the default holds all state in memory and no state of several parts, as
+    :mod:`clickpulse.streaming.keyed` has it. A query that goes on from a checkpoint keeps the store that wrote it.
+    """
     writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     if name:
         writer = writer.queryName(name)
-    return writer.trigger(**(trigger or {"processingTime": "0 seconds"})).start()
+    conf = rows.sparkSession.conf
+    replaced = conf.get(STATE_STORE) == DEFAULT_STORE
+    if replaced:
+        conf.set(STATE_STORE, SETTINGS[STATE_STORE])
+    try:  # a started query has a copy of the settings
+        return writer.trigger(**(trigger or {"processingTime": "0 seconds"})).start()
+    finally:
+        if replaced:
+            conf.set(STATE_STORE, DEFAULT_STORE)
 
 
 def _all_records(raw: DataFrame, fields: list[str]) -> DataFrame:

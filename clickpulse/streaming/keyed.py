@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from clickpulse.schema import SESSION_GAP_MS
 
+# The processors travel whole: the worker that Spark starts beside the driver for them sees no shipped files.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _ROW = "event_ms bigint, buy boolean, event_id string, behavior string"
 
 

@@ -407,3 +407,34 @@ def test_chained_top_n_equals_the_ranked_batch(spark, history, tmp_path):
     counts = windows.hot_word_counts(parse.parse_behavior(batch(spark, history)), "12 hours", "6 hours")
     want = ranking.hot_search_topn(counts, 3)
     assert same(sinks.read_files(spark, out, like), want) and want.count() > 100
+
+
+DEFAULT_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+@pytest.mark.parametrize("rows_of", [jobs.numbered_sessions, lambda raw: jobs.hot_top(raw, 3, "12 hours", "6 hours")])
+def test_keyed_streams_run_in_a_session_with_sparks_default_state_store(spark, history, tmp_path, rows_of):
+    folder = write_files(tmp_path / "in", [*chunks(history, 2), sentinel("search")])
+    own = spark.conf.get(STORE)
+    spark.conf.set(STORE, DEFAULT_STORE)
+    try:
+        out, like = drain(spark, folder, rows_of, tmp_path)
+        assert sinks.read_files(spark, out, like).count() > 100 and spark.conf.get(STORE) == DEFAULT_STORE
+    finally:
+        spark.conf.set(STORE, own)
+
+
+def test_processors_need_no_import_where_they_run():
+    """As in a worker that cannot import this package."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from clickpulse.streaming import keyed
+
+    code = "import pickle, sys; p = pickle.load(sys.stdin.buffer); print(type(p).__name__, p.n, 'clickpulse' in sys.modules)"
+    data = cloudpickle.dumps(keyed.Largest(3, True))
+    done = subprocess.run([sys.executable, "-c", code], input=data, capture_output=True, cwd="/", env={**os.environ, "PYTHONPATH": ""})
+    assert done.stdout.split() == [b"Largest", b"3", b"False"], done.stderr
