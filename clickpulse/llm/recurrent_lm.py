@@ -32,8 +32,6 @@ SYMBOLS, BANDS = 1_024, 8
 CLASSES, HIDDEN = 32, 16
 #: Documents side by side and steps of a window, in training and in scoring.
 TRAIN_LANES, TRAIN_WINDOW, LANES, WINDOW = 256, 32, 512, 32
-#: A task takes the gradients of one window in so many; its state goes through all of them.
-EVERY = 2
 #: The starting point: documents drawn for it at most, the tokens in a row of each, wherever they are in it, and its
 #: updates. After it every training document is learnt from once.
 START_DOCS, START_TOKENS, START_UPDATES = 1_000, 1_000, 300
@@ -319,17 +317,15 @@ class Trainer:
         self._first, self._second = ([np.zeros_like(p) for p in net] for _ in range(2))
         self.updates, self.tokens = 0, 0
 
-    def learn(self, symbols: np.ndarray, sizes: np.ndarray, most: int, window: int, every: int = 1) -> None:
-        """Runs through all documents, and takes the gradients of one window in ``every``."""
+    def learn(self, symbols: np.ndarray, sizes: np.ndarray, most: int, window: int) -> None:
+        """Runs through all documents, and takes the gradients of every window."""
         lanes = arranged(symbols, sizes, most)
         state = np.zeros((self.net.recurrent.shape[1], len(lanes.symbols)), np.float32)
-        for inputs, targets, keep, first in _windows(lanes, self.end, window):
+        for inputs, targets, keep, _ in _windows(lanes, self.end, window):
             steps = forward(self.net, inputs, keep, state[:, : inputs.shape[1]])
             state = steps.after[:, -1]
             valid = targets >= 0
             self.tokens += int(valid.sum())
-            if first // window % every:
-                continue
             gradients = [np.zeros_like(p) for p in self.net]
             _, out = output(self.net, self.cuts, steps.after[:, valid], targets[valid], gradients)
             back = np.zeros_like(steps.after)
@@ -471,7 +467,7 @@ def trained(table: DataFrame, known: Lexicon, rounds: int = ROUNDS) -> Net:
             trainer = Trainer(start, cuts, end, rate)  # noqa: B023
             for batch in batches:
                 for _, _, codes, sizes in _documents(batch.column(0)):
-                    trainer.learn(symbol[codes], sizes, TRAIN_LANES, TRAIN_WINDOW, EVERY)
+                    trainer.learn(symbol[codes], sizes, TRAIN_LANES, TRAIN_WINDOW)
             if trainer.tokens:
                 flat = np.concatenate([p.ravel() for p in trainer.net]).astype(np.float32).tobytes()
                 part = TaskContext.get().partitionId()

@@ -155,6 +155,19 @@ def test_parameters_are_averaged_by_weight(spark, monkeypatch):
     assert lm.averaged(rows.limit(0)) is None
 
 
+def test_every_window_of_a_training_document_is_learnt_from(spark, monkeypatch):
+    """The task's parameters are those of plain updates by all windows."""
+    known = lm.lexicon(["a", "b", "c", "d"], np.array([60, 50, 40, 30]), 1, 181, 5, 5)
+    start, codes = lm.initial(int(known.cuts[-1]), len(known.cuts) - 1), [k * k % 5 for k in range(200)]
+    monkeypatch.setattr(lm, "started", lambda *_: start)
+    table = spark.createDataFrame([(0, False, codes)], "row bigint, held_out boolean, codes array<int>")
+    plain = lm.Trainer(start, known.cuts, known.end, lm.RATE)
+    plain.learn(known.symbol[np.array(codes)], np.array([200]), lm.TRAIN_LANES, lm.TRAIN_WINDOW)
+    assert plain.updates == -(-200 // lm.TRAIN_WINDOW)
+    for got, want in zip(lm.trained(table, known, rounds=1), plain.net):
+        assert got == pytest.approx(want, rel=1e-5, abs=1e-6)
+
+
 def test_a_sequence_is_learnt():
     text = np.tile(np.array([0, 3, 1, 4, 2], np.int32), 400)
     trainer = lm.Trainer(lm.initial(5, 2), np.array([0, 2, 5]), 0, 0.03, 200)
