@@ -15,26 +15,29 @@ from clickpulse.session import checkpoint_root
 from clickpulse.sources import catalog
 from clickpulse.streaming import jobs, sinks
 
-#: Files that the events of a table are cut into, by arrival; a stream reads one in each micro-batch.
-MICRO_BATCHES = 3
-_cut: dict[tuple[str, str], str] = {}
+#: Micro-batches that a stream reads a table in, by arrival: so many, and more where one would hold over so many events.
+MICRO_BATCHES, BATCH_EVENTS = 3, 4_000_000
+_cut: dict[tuple[str, str], tuple[str, int]] = {}
 
 
-def _in_order(spark: SparkSession, sf_dir: str) -> str:
-    """A folder with the events in files by arrival, whose modification times rise. Made once in a session."""
+def _in_order(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """A folder with the events in files by arrival, whose modification times rise, and the files of a micro-batch:
+    one for each core, so that none of them is one task's work. Made once in a session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _cut:
         folder = f"{checkpoint_root(spark)}/arrivals-{uuid.uuid4().hex}"
         late = F.when(F.col("event_id") % 10 == 0, F.col("event_id") % 5000).otherwise(0)
         arrival = F.unix_millis(F.col("ts").cast("timestamp")) + late
         events = tables.load(spark, sf_dir, "events")
-        events.repartitionByRange(MICRO_BATCHES, arrival).write.parquet(folder)
+        batches = max(MICRO_BATCHES, -(-events.count() // BATCH_EVENTS))
+        events.repartitionByRange(batches * spark.sparkContext.defaultParallelism, arrival).write.parquet(folder)
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
         system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        files = sorted((f.getPath() for f in system.listStatus(path)), key=lambda p: p.getName())
-        for number, file in enumerate(f for f in files if f.getName().startswith("part-")):
-            system.setTimes(file, 1_000_000_000_000 + 1000 * number, -1)
-        _cut[key] = folder
+        names = sorted(f.getPath().getName() for f in system.listStatus(path))
+        files = [n for n in names if n.startswith("part-")]
+        for number, name in enumerate(files):
+            system.setTimes(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, name), 1_000_000_000_000 + 1000 * number, -1)
+        _cut[key] = folder, max(1, len(files) // batches)
     return _cut[key]
 
 
@@ -42,8 +45,9 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records in order of arrival, in several micro-batches."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     schema = tables.load(spark, sf_dir, "events").schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("pathGlobFilter", "part-*")
-    return tables.records_from(reader.parquet(_in_order(spark, sf_dir)), tables.load(spark, sf_dir, "customer"))
+    folder, files = _in_order(spark, sf_dir)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("pathGlobFilter", "part-*")
+    return tables.records_from(reader.parquet(folder), tables.load(spark, sf_dir, "customer"))
 
 
 def _drain(make: Callable[[DataFrame], DataFrame], wrap=None, shape: Callable[[DataFrame], DataFrame] | None = None):

@@ -438,3 +438,19 @@ def test_processors_need_no_import_where_they_run():
     data = cloudpickle.dumps(keyed.Largest(3, True))
     done = subprocess.run([sys.executable, "-c", code], input=data, capture_output=True, cwd="/", env={**os.environ, "PYTHONPATH": ""})
     assert done.stdout.split() == [b"Largest", b"3", b"False"], done.stderr
+
+
+def test_a_micro_batch_of_the_events_is_a_file_for_each_core_and_bounded(spark, monkeypatch):
+    """One file a micro-batch was one task's work, and three micro-batches whatever the table held as well."""
+    from clickpulse.plans import streams
+
+    events = tables.load(spark, SMALL, "events").count()
+    monkeypatch.setattr(streams, "_cut", {})
+    monkeypatch.setattr(streams, "BATCH_EVENTS", events // 5, raising=False)
+    folder, files = streams._in_order(spark, SMALL)
+    parts = spark.read.parquet(folder).select("event_id", "ts", F.input_file_name().alias("file"))
+    cores = spark.sparkContext.defaultParallelism
+    sizes = [r["count"] for r in parts.groupBy("file").count().collect()]
+    assert files > 1 and len(sizes) > 4 * cores and max(sizes) < events / cores and sum(sizes) == events
+    names = sorted(f"{folder}/{n}" for n in os.listdir(folder) if n.startswith("part-"))
+    assert names == sorted(names, key=os.path.getmtime) and len({os.path.getmtime(n) for n in names}) == len(names)
