@@ -232,6 +232,8 @@ def encode(
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.ListArray.from_arrays(_offsets(len(f) // 4 for f in found), flat)], names=[id_col, ids]
                 )
+                del rows, found, flat
+                pa.default_memory_pool().release_unused()
 
     kind = documents.schema[id_col].dataType.simpleString()
     return documents.select(id_col, text).mapInArrow(run, f"`{id_col}` {kind}, `{ids}` array<int>")
@@ -255,6 +257,8 @@ def decode(rows: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decod
                 lists = part.column(part.schema.get_field_index(ids)).to_pylist()
                 data = [None if x is None else b"".join(map(table.__getitem__, x)) for x in lists]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(data, pa.binary())], names=[*part.schema.names, out])
+                del part, lists, data
+                pa.default_memory_pool().release_unused()
 
     kept = rows.drop(out)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)

@@ -191,6 +191,8 @@ def pack(
                 rows = batch.slice(first, DOCS)
                 for doc, ids in zip(rows.column(0).to_pylist(), encoder.encode(rows.column(1).to_pylist())):
                     yield from _rows(packer.feed(doc, ids + end), part, counters)
+                del rows, ids
+                pa.default_memory_pool().release_unused()
         yield from _rows(packer.finish(), part, counters)
 
     return documents.select(F.col(id_col).try_cast("bigint").alias(id_col), F.col(text)).mapInArrow(run, SCHEMA)

@@ -29,7 +29,7 @@ _RAW = "\r"
 #: memory, not what is encoded.
 REMEMBERED, LONGEST, BYTES = 1_500_000, 64, 1 << 27
 #: Pieces and characters that are cut at a time.
-STEP, CHARS = 200_000, 6_000_000
+STEP, CHARS = 200_000, 3_000_000
 #: Pieces that the library gets as one text.
 TOGETHER = 10_000
 
