@@ -18,16 +18,19 @@ def tokens(text: str) -> Column:
     return F.filter(F.split(F.lower(text), TOKEN_BREAK), lambda w: w != "")
 
 
-def postings(documents: DataFrame, terms: Iterable[str] | None = None) -> DataFrame:
-    """One row per (language, token, document) with its term frequency ``tf``.
+#: A document's runs of equal words, as rows.
+RUNS = (
+    "inline(transform(starts, (s, j) -> named_struct("
+    "'token', words[s], 'tf', CAST(coalesce(get(starts, j + 1), size(words)) - s AS bigint))))"
+)
 
-    A document is one row, so its tokens are counted within the row, as runs of the sorted
-    token array, and no shuffle is needed.
-    """
+
+def _counted(documents: DataFrame, terms: Iterable[str] | None = None) -> DataFrame:
+    """One row per document: its sorted tokens, and where each different one starts."""
     words = tokens("text")
     if terms is not None:
         words = F.filter(words, lambda w: w.isin(*terms))
-    counted = documents.select(
+    return documents.select(
         F.coalesce("lang", F.lit("")).alias("lang"), "doc_id", F.sort_array(words).alias("words")
     ).withColumn(
         "starts",
@@ -36,11 +39,15 @@ def postings(documents: DataFrame, terms: Iterable[str] | None = None) -> DataFr
             " i -> i < size(words) AND (i = 0 OR words[i] <> words[i - 1]))"
         ),
     )
-    runs = (
-        "inline(transform(starts, (s, j) -> named_struct("
-        "'token', words[s], 'tf', CAST(coalesce(get(starts, j + 1), size(words)) - s AS bigint))))"
-    )
-    return counted.select("lang", "doc_id", F.expr(runs))
+
+
+def postings(documents: DataFrame, terms: Iterable[str] | None = None) -> DataFrame:
+    """One row per (language, token, document) with its term frequency ``tf``.
+
+    A document is one row, so its tokens are counted within the row, as runs of the sorted
+    token array, and no shuffle is needed.
+    """
+    return _counted(documents, terms).select("lang", "doc_id", F.expr(RUNS))
 
 
 def _each() -> Column:
@@ -49,23 +56,34 @@ def _each() -> Column:
     return (F.col("tf") > 0) & F.col("doc_id").isNotNull()
 
 
+def salted_postings(documents: DataFrame, salts: int) -> DataFrame:
+    """Postings with a ``salt`` that spreads the postings of a common word.
+
+    A word has one posting in a document, so of the postings of documents with m different words it has an m-th at
+    most. These documents are spread by a hash over ``salts`` / m keys a word, one at least: no key has many more than
+    one in ``salts`` of all postings, and in long documents, which hold nearly all postings, a word keeps one key.
+    """
+    keys = F.greatest(F.lit(1), F.floor(F.lit(salts) / F.greatest(F.lit(1), F.size("starts"))))
+    # never null, so that a join on it adds no filter that would keep the two sides' shuffle apart
+    salt = F.coalesce(F.pmod(F.xxhash64("doc_id"), keys).cast("int"), F.lit(0))
+    return _counted(documents).withColumn("salt", salt).select("lang", "doc_id", "salt", F.expr(RUNS))
+
+
 def inverted_index(documents: DataFrame, *, salts: int | None = None) -> DataFrame:
     """Postings with the document frequency ``df`` of their token. Postings stay rows.
 
-    A common word is in most documents. Its postings are spread over ``salts`` keys by a
-    hash of the document, four times the shuffle partitions unless given, so a word in all documents
-    keeps the whole cluster busy; at most that many counts per token are summed. Postings
-    are shuffled once.
+    A common word's postings are spread by :func:`salted_postings`, ``salts`` being four times the shuffle partitions
+    unless given, so a word in all documents keeps the whole cluster busy; at most that many counts per token are
+    summed. Postings are shuffled once and not sorted; a task of the join holds the different words of its share.
     """
     salts = salts or 4 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # never null, so that the join on it adds no filter that would keep the two sides' shuffle apart
-    salt = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"), F.lit(0))
-    salted = postings(documents).withColumn("salt", salt).repartition("lang", "token", "salt")
+    salted = salted_postings(documents, salts).repartition("lang", "token", "salt")
     part = salted.groupBy("lang", "token", "salt").agg(F.count_if(_each()).alias("part"))
     totals = part.select(
         "lang", "token", "salt", F.sum("part").over(Window.partitionBy("lang", "token")).alias("df")
     )
-    return salted.join(totals, ["lang", "token", "salt"]).select("lang", "token", "doc_id", "tf", "df")
+    found = salted.join(totals.hint("shuffle_hash"), ["lang", "token", "salt"])
+    return found.select("lang", "token", "doc_id", "tf", "df")
 
 
 def search_documents(documents: DataFrame, terms: Iterable[str], k: int = 10) -> DataFrame:

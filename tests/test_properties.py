@@ -149,6 +149,22 @@ def test_index_with_a_common_word(spark):
     assert got == {k: (n, df[k[:2]]) for k, n in tf.items()}
 
 
+def test_a_word_has_more_keys_where_it_is_more_of_the_rows(spark):
+    """Words of long documents keep one key each; a word that is a document by itself is spread."""
+    long = [(i, "en", " ".join(f"w{j}" for j in range(200))) for i in range(100)]
+    short = [(1000 + i, "en", "the") for i in range(400)]
+    frame = spark.createDataFrame(long + short + [(None, "en", "The")], "doc_id bigint, lang string, text string")
+    rows = search.salted_postings(frame, 32).groupBy("token").agg(F.countDistinct("salt").alias("keys"), F.count("*").alias("n"))
+    got = {r["token"]: (r["keys"], r["n"]) for r in rows.collect()}
+    assert got == {"the": (32, 401)} | {f"w{j}": (1, 100) for j in range(200)}
+
+
+def test_index_postings_are_not_sorted(spark):
+    frame = spark.createDataFrame([(1, "en", "a b")], "doc_id bigint, lang string, text string")
+    text = search.inverted_index(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+
+
 def test_rows_without_a_user_are_kept(records):
     raw = records(('{"behavior":"click","eventId":"a","ts":1}', 1), ('{"behavior":"click","eventId":"b","ts":2}', 2))
     events = parse.parse_behavior(raw)
