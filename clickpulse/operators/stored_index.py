@@ -1,44 +1,46 @@
 """A stored inverted index that a query reads by its terms, and leaves out blocks of documents that cannot rank.
 
-Three tables: postings and blocks, both bucketed by token, and the documents of each language. A block is a
-range of hashed document ids, the same for all tokens, and holds each token's largest term frequency. The
-sum of a block's largest contributions bounds what any of its documents can score.
+Postings are a table bucketed by token. A block is a range of hashed document ids, the same for all tokens; of a
+token's postings in a block one with the largest term frequency also holds their number, and a view shows just these.
+The sum of a block's largest contributions bounds what any of its documents can score. Another table has the documents
+of each language.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickpulse.operators.ranking import top_n
 from clickpulse.operators.search import inverted_index
 
-#: Buckets of a stored index, and documents of a block on average.
-BUCKETS, WIDTH = 64, 128
-
-
-def _stored(rows: DataFrame, table: str, path: str, buckets: int, *order: str) -> None:
-    """A token's rows lie in one bucket, in as many files as blocks are spread over."""
-    share = F.pmod(F.col("block"), F.lit(8))
-    spread = rows.repartition(F.pmod(F.hash("token"), F.lit(buckets)), share)
-    spread.write.bucketBy(buckets, "token").sortBy("token", *order).option("path", path).saveAsTable(table)
+#: Buckets of a stored index, documents of a block on average, and files of a bucket that blocks are spread over.
+BUCKETS, WIDTH, SHARES = 64, 128, 8
 
 
 def build_index(documents: DataFrame, table: str, path: str, *, buckets: int = BUCKETS, width: int = WIDTH) -> None:
-    """Writes the index of ``documents`` as tables ``table``, ``table_blocks`` and ``table_totals`` below ``path``.
+    """Writes the index of ``documents`` as tables ``table`` and ``table_totals`` below ``path``, and the view
+    ``table_blocks``.
 
-    Postings are shuffled by bucket and share of blocks, so that a token of most documents is not one task's work.
+    Postings are shuffled by bucket and share of blocks, so that a token of most documents is not one task's work. There
+    they are put in order by token and block, which marks the largest of each and is nearly the order of the files.
     """
     blocks = max(1, -(-documents.count() // width))
     block = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"), F.lit(0))
-    _stored(inverted_index(documents).withColumn("block", block), table, f"{path}/postings", buckets, "lang", "block")
-    # from the files, as a bucketed scan would give each token to one task
-    spark = documents.sparkSession
-    found = spark.read.schema(spark.table(table).schema).parquet(f"{path}/postings")
-    summed = found.groupBy("lang", "token", "block").agg(F.max("tf").alias("max_tf"), F.count(F.lit(1)).alias("n"))
-    _stored(summed, f"{table}_blocks", f"{path}/blocks", buckets, "lang", "block")
+    placed = inverted_index(documents).withColumn("block", block).withColumns(
+        {"bucket": F.pmod(F.hash("token"), F.lit(buckets)), "share": F.pmod(F.col("block"), F.lit(SHARES))}
+    )
+    # bucket and share follow from the other keys: with them the shuffle serves, behind them the order is the files'
+    own = Window.partitionBy("token", "lang", "block", "bucket", "share").orderBy(F.desc("tf"))
+    n = F.count(F.lit(1)).over(own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    marked = placed.repartition("bucket", "share").withColumn("n", F.when(F.row_number().over(own) == 1, n))
+    stored = marked.drop("bucket", "share").write.bucketBy(buckets, "token").sortBy("token", "lang", "block")
+    stored.option("path", f"{path}/postings").saveAsTable(table)
+    documents.sparkSession.sql(
+        f"CREATE VIEW {table}_blocks AS SELECT lang, token, block, tf AS max_tf, n FROM {table} WHERE n IS NOT NULL"
+    )
     totals = documents.groupBy(F.coalesce("lang", F.lit("")).alias("lang")).agg(F.count(F.lit(1)).alias("total"))
     totals.write.option("path", f"{path}/totals").saveAsTable(f"{table}_totals")
 

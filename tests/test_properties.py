@@ -262,6 +262,16 @@ def test_a_query_reads_the_buckets_of_its_terms_only(spark, index):
     assert files <= 8 < spark.table("test_index").selectExpr("input_file_name() AS f").distinct().count()
 
 
+def test_blocks_are_shown_from_the_postings(spark, index):
+    """The index is written once; of each token and block one posting stands for all, also where documents come twice."""
+    assert spark.catalog.getTable("test_index_blocks").tableType == "VIEW"
+    own = spark.table("test_index").groupBy("lang", "token", "block")
+    want = own.agg(F.max("tf").alias("max_tf"), F.count(F.lit(1)).alias("n"))
+    got = spark.table("test_index_blocks").select(want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert got.agg(F.sum("n")).first()[0] == search.postings(index).count()
+
+
 def test_stored_index_of_no_documents(spark, tmp_path):
     empty = spark.createDataFrame([], "doc_id bigint, text string, lang string")
     stored_index.build_index(empty, "empty_index", str(tmp_path / "i"))
