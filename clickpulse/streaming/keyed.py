@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator
 
@@ -16,15 +17,19 @@ from clickpulse.schema import SESSION_GAP_MS
 # The processors travel whole: the worker that Spark starts beside the driver for them sees no shipped files.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_ROW = "event_ms bigint, buy boolean, event_id string, behavior string"
+#: Groups that users are dealt to by hash. A call, a timer and the state are a whole group's, and a micro-batch writes
+#: the sessions of all users of the groups that it touches: more groups suit far more users, fewer call less often.
+USER_GROUPS = 4096
 
 
 class SessionNumbers(StatefulProcessor):
-    """Numbers a user's rows in order of time, once no earlier row can come any more.
+    """Numbers each user's rows in order of time, once no earlier row can come any more, for a group of users.
 
-    State per user: the rows that the watermark has not passed, one timer at the first of them, and one row
-    with the last time, whether it was a purchase, and the session's number. So what grows is the number of
-    users, and rows stay no longer than the lateness bound.
+    State per group: the rows that the watermark has not passed, one timer at the first of them, and for each user
+    the last time, whether it was a purchase, and the session's number. So what grows is the number of users, and
+    rows stay no longer than the lateness bound. A call to the state costs as much as hundreds of rows, so a
+    frame's rows are one value in it, as JSON text, and so are the sessions of a group. Rows without a user leave
+    at once.
     """
 
     def __init__(self, gap_ms: int, names: tuple[str, str]) -> None:
@@ -32,49 +37,52 @@ class SessionNumbers(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", _ROW)
-        self.last = handle.getValueState("last", "event_ms bigint, buy boolean, session_no bigint")
+        self.waiting = handle.getListState("waiting", "rows string")
+        self.last = handle.getValueState("last", "sessions string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first = None
+        firsts = []
         for frame in rows:
-            columns = (frame[c].tolist() for c in ("event_ms", "buy", "event_id", "behavior"))
-            fresh = [(int(ms), bool(buy), event, behavior) for ms, buy, event, behavior in zip(*columns)]
-            self.waiting.appendList(fresh)
-            first = min(r[0] for r in fresh) if first is None else min(first, *(r[0] for r in fresh))
-        if first is not None:
-            self._wake_at(first)
-        return iter(())
+            fresh = [*zip(*(frame[c].tolist() for c in ("owner", "event_ms", "event_id", "behavior")))]
+            known = [r for r in fresh if r[0] is not None]
+            if len(known) < len(fresh):
+                nobody = [r for r in fresh if r[0] is None]
+                yield self._numbered(nobody, [None] * len(nobody))
+            if known:
+                self.waiting.appendValue((_text(known),))
+                firsts.append(min(r[1] for r in known))
+        if firsts:
+            self._wake_at(min(firsts))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()  # rows before it are late from now on
-        rows = sorted(self.waiting.get(), key=lambda r: (r[0], r[1], r[2] is not None, r[2] or ""))
-        due = [r for r in rows if r[0] < passed]
-        left = rows[len(due) :]
+        due, left = [], []
+        for (rows,) in self.waiting.get():
+            for row in json.loads(rows):
+                (due if row[1] < passed else left).append(row)
         if left:
-            self.waiting.put(left)
-            self._wake_at(left[0][0], passed)
+            self.waiting.put([(_text(left),)])
+            self._wake_at(min(r[1] for r in left), passed)
         else:
             self.waiting.clear()
         if not due:
             return
-        before, bought, number = self.last.get() if self.last.exists() else (due[0][0], False, 1)
+        due.sort(key=lambda r: (r[0], r[1], r[3] == "buy", r[2] is not None, r[2] or ""))
+        stored = self.last.get()
+        last = json.loads(stored[0]) if stored else {}
         numbers = []
-        for ms, buy, _, _ in due:
+        for user, ms, _, behavior in due:
+            before, bought, number = last.get(user) or (ms, False, 1)
             number += bool(bought or ms - before > self.gap_ms)
             numbers.append(number)
-            before, bought = ms, buy
-        self.last.update((before, bought, number))
-        user, tie = self.names
-        yield pd.DataFrame(
-            {
-                user: [key[0]] * len(due),
-                tie: [r[2] for r in due],
-                "event_ms": [r[0] for r in due],
-                "behavior": [r[3] for r in due],
-                "session_no": numbers,
-            }
-        )
+            last[user] = ms, behavior == "buy", number
+        self.last.update((_text(last),))
+        yield self._numbered(due, numbers)
+
+    def _numbered(self, rows: list, numbers: list) -> pd.DataFrame:
+        user, ms, tie, behavior = zip(*rows)
+        frame = {self.names[0]: user, self.names[1]: tie, "event_ms": ms, "behavior": behavior}
+        return pd.DataFrame(frame | {"session_no": pd.array(numbers, "Int64")})
 
     def _wake_at(self, ms: int, fired: int = -1) -> None:
         """One timer, right after the first waiting row; those up to ``fired`` are spent but still listed."""
@@ -89,33 +97,41 @@ class SessionNumbers(StatefulProcessor):
         pass
 
 
+def _text(value) -> str:
+    return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+
+
 def sessionize_stream(
-    events: DataFrame, gap_ms: int = SESSION_GAP_MS, *, user: str = "userId", tie: str = "eventId"
+    events: DataFrame,
+    gap_ms: int = SESSION_GAP_MS,
+    *,
+    user: str = "userId",
+    tie: str = "eventId",
+    groups: int = USER_GROUPS,
 ) -> DataFrame:
     """The rows of :func:`clickpulse.operators.sessions.sessionize` on a stream: a session ends after ``gap_ms``
     without a row, and after a purchase.
 
     ``events`` has a watermark on ``event_ts``. A row comes out with its number once the watermark has
-    passed it. Rows without a user need no state and come out at once, with a null number.
+    passed it. Rows without a user come out at once, with a null number, however late: to the
+    watermark their time is null. They are spread over the groups, and read in the same pass as the others.
     """
-    columns = (
+    nobody = F.col(user).isNull()
+    spread = F.when(nobody, F.xxhash64(tie, "event_ts")).otherwise(F.xxhash64(user))
+    rows = events.filter(F.col("event_ts").isNotNull()).select(
+        F.pmod(spread, F.lit(groups)).alias("users"),
+        F.when(~nobody, F.col("event_ts")).alias("event_ts", metadata=events.schema["event_ts"].metadata),
+        F.col(user).cast("string").alias("owner"),
         F.unix_millis("event_ts").alias("event_ms"),
-        (F.coalesce("behavior", F.lit("")) == "buy").alias("buy"),
         F.col(tie).alias("event_id"),
         F.coalesce("behavior", F.lit("")).alias("behavior"),
     )
-    known = events.filter(F.when(F.col("event_ts").isNotNull(), F.col(user).isNotNull())).select(user, "event_ts", *columns)
-    numbered = known.groupBy(user).transformWithStateInPandas(
+    return rows.groupBy("users").transformWithStateInPandas(
         statefulProcessor=SessionNumbers(gap_ms, (user, tie)),
         outputStructType=f"`{user}` string, `{tie}` string, event_ms bigint, behavior string, session_no bigint",
         outputMode="Append",
         timeMode="EventTime",
     )
-    nobody = events.filter(F.when(F.col("event_ts").isNotNull(), F.col(user).isNull())).select(
-        user, tie, F.unix_millis("event_ts").alias("event_ms"), F.coalesce("behavior", F.lit("")).alias("behavior"),
-        F.lit(None).cast("bigint").alias("session_no"),
-    )
-    return numbered.unionByName(nobody)
 
 
 class Largest(StatefulProcessor):

@@ -15,7 +15,7 @@ from clickpulse.plans import tables
 from clickpulse.schema import RAW_SCHEMA
 from clickpulse.session import checkpoint_root
 from clickpulse.sources import catalog, endpoints, records as record_sources
-from clickpulse.streaming import jobs, sinks
+from clickpulse.streaming import jobs, keyed, sinks
 
 NOW = {"availableNow": True}
 FAR = 4_000_000_000_000
@@ -401,6 +401,43 @@ def test_numbered_sessions_go_on_after_a_restart_and_keep_no_passed_rows(spark,
     assert sum(o["numRowsTotal"] for o in progress["stateOperators"]) <= 6
 
 
+def test_numbered_sessions_hold_and_call_for_groups_and_read_the_records_once(spark, history, tmp_path):
+    """Each row was a value of the state, each user's micro-batch several calls to it, and the records read twice."""
+    many = [(f"{k}{n % 50}", v.replace('"userId":"', f'"userId":"{n % 50}-'), ms) for n, (k, v, ms) in enumerate(history)]
+    folder = write_files(tmp_path / "in", [*chunks(many, 3), sentinel("click")])
+    raw = record_sources.file_stream(spark, folder, files_per_trigger=1)
+    events = jobs._all_records(raw, ["userId", "eventId", "behavior"]).filter("is_object")
+    rows = keyed.sessionize_stream(events, 3_600_000, groups=5)
+    assert rows._jdf.queryExecution().analyzed().toString().count("StreamingRelation") == 1
+    query = jobs.start(rows, sinks.file_writer(f"{tmp_path}/out"), f"{tmp_path}/ck", NOW)
+    query.awaitTermination()
+    states = [sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in query.recentProgress]
+    got = [r for r in sinks.read_files(spark, f"{tmp_path}/out", rows).collect() if r["userId"] != "Z"]
+    want = sessions.sessionize(parse.parse_behavior(batch(spark, many)), 3_600_000).collect()
+    assert numbered(got) == numbered(want) and len({r["userId"] for r in got}) > 200
+    assert 0 < max(states) <= 5 * 8  # of a group: the rows of few frames, the sessions, a timer and its key
+
+
+def test_numbered_sessions_leave_out_late_rows_of_users_only(spark, tmp_path):
+    def event(event, user, ms, arrival):
+        value = {"eventId": event, "behavior": "click", "ts": ms} | ({"userId": user} if user else {})
+        return (user, json.dumps(value, ensure_ascii=False), arrival)
+
+    day = 86_400_000
+    groups = [
+        [event("a", "Ü\"1", day, day), event("b", None, day, day)],
+        [event("c", "Ü\"1", 2 * day, 2 * day), event(None, "Ü\"1", 2 * day, 2 * day)],
+        [event("d", "U2", 3 * day, 3 * day)],
+        [event("late", "U2", 1_000, 3 * day), event("late nobody", None, 1_000, 3 * day), event(None, None, 3 * day, 3 * day)],
+        sentinel("click"),
+    ]
+    out, like = drain(spark, write_files(tmp_path / "in", groups), jobs.numbered_sessions, tmp_path)
+    rows = sinks.read_files(spark, out, like).collect()
+    got = sorted((r["userId"] or "", r["eventId"] or "", r["event_ms"], r["session_no"]) for r in rows)
+    nobody = [("", "", 3 * day, None), ("", "b", day, None), ("", "late nobody", 1_000, None)]
+    assert got == [*nobody, ("U2", "d", 3 * day, 1), ("Ü\"1", "", 2 * day, 2), ("Ü\"1", "a", day, 1), ("Ü\"1", "c", 2 * day, 2)]
+
+
 def test_chained_top_n_equals_the_ranked_batch(spark, history, tmp_path):
     folder = write_files(tmp_path / "in", [*chunks(history), sentinel("search")])
     out, like = drain(spark, folder, lambda raw: jobs.hot_top(raw, 3, "12 hours", "6 hours"), tmp_path)
